@@ -88,3 +88,52 @@ def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], group
         inner = F.coalesce(F.sum(c).over(frame), F.lit(0))
         joined = joined.withColumn(f"{c}{suffix}", inner + F.col(f"_o_{c}"))
     return joined.drop("_bkt", *[f"_o_{c}" for c in value_cols])
+
+
+def _join(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Equi-join on ``by``; with no keys the (small) right side is crossed in."""
+    return a.join(b, list(by), "inner") if by else a.crossJoin(F.broadcast(b))
+
+
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+              out: str = "quantile") -> DataFrame:
+    """Exact type-7 (linear) quantiles per group: (by..., prob, quantile).
+
+    Same numbers as ``percentile`` / R ``quantile`` but without holding all
+    distinct values of a group in one aggregation buffer:
+
+    * count rows per distinct value (map-side partial aggregation; a value
+      held by a third of all rows collapses to one row),
+    * running count over distinct values with the two-level ``running_sums``,
+    * for each requested rank h = (n-1)p+1, pick the value whose running
+      count covers floor(h) and ceil(h) (a join against a table of
+      groups x probs), and interpolate.
+    """
+    by = list(by)
+    spark = df.sparkSession
+    v = F.col(value).cast("double")
+    vc = df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(vc, "_v", ["_c"], by)  # adds _c_cum (inclusive)
+    n = vc.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
+    tgt = (n.crossJoin(F.broadcast(pr))
+           .withColumn("_h", (F.col("_n") - 1) * F.col("prob") + 1)
+           .withColumn("_lo", F.floor("_h").cast("bigint"))
+           .withColumn("_hi", F.ceil("_h").cast("bigint")))
+    lo = (_join(cum, tgt, by)
+          .filter((F.col("_c_cum") - F.col("_c") < F.col("_lo")) & (F.col("_lo") <= F.col("_c_cum")))
+          .select(*by, "prob", "_h", "_lo", F.col("_v").alias("_vlo")))
+    hi = (_join(cum, tgt.select(*by, "prob", "_hi"), by)
+          .filter((F.col("_c_cum") - F.col("_c") < F.col("_hi")) & (F.col("_hi") <= F.col("_c_cum")))
+          .select(*by, "prob", F.col("_v").alias("_vhi")))
+    j = lo.join(hi, [*by, "prob"], "inner")
+    q = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
+    return j.select(*by, "prob", q.alias(out))
+
+
+def quantiles_wide(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """``quantiles`` pivoted to one column per prob (declared pivot values)."""
+    q = quantiles(df, value, probs, by)
+    w = q.groupBy(*by).pivot("prob", [float(p) for p in probs]).agg(F.first("quantile"))
+    return w.select(*by, *[F.col(f"`{float(p)}`").alias(nm) for p, nm in zip(probs, names)])
