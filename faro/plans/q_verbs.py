@@ -33,15 +33,14 @@ def p02_filter(spark, d):
 
 
 @query("p03_mutate", """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS revenue, ln(l_extendedprice) AS log_price,
-exp(-l_discount) AS exp_disc, abs(l_discount - 0.05) AS abs_dev, l_extendedprice / l_quantity AS unit_price FROM lineitem""",
-       dbl=["revenue", "log_price", "exp_disc", "abs_dev", "unit_price"])
+exp(-l_discount) AS exp_disc, abs(l_discount - 0.05) AS abs_dev FROM lineitem""",
+       dbl=["revenue", "log_price", "exp_disc", "abs_dev"])
 def p03_mutate(spark, d):
     li = Tables(spark, d).lineitem
     return li.select("l_orderkey", "l_linenumber",
                      (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
                      F.ln("l_extendedprice").alias("log_price"), F.exp(-F.col("l_discount")).alias("exp_disc"),
-                     F.abs(F.col("l_discount") - 0.05).alias("abs_dev"),
-                     (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+                     F.abs(F.col("l_discount") - 0.05).alias("abs_dev"))
 
 
 @query("p04_case_when", f"""WITH s AS ({SURVEY_SQL})
