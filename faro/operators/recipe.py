@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,15 +135,31 @@ class Recipe:
     def prep(self, train: DataFrame) -> "PreppedRecipe":
         current = self._predictors(train)
         df = train.select(*[c for c in train.columns if c in current or c == self.outcome or c in self.ids])
+        # one aggregation per step: keep the (projected) training rows cached for the
+        # duration of the fit, as MLlib estimators do for multi-pass fits
+        cached = not train.storageLevel.useMemory and not train.storageLevel.useDisk and len(self.steps) > 1
+        base = df.persist(StorageLevel.MEMORY_AND_DISK) if cached else df
+        df = base
         fitted = []
-        for st in self.steps:
-            cols = self._resolve(st.cols, df, current)
-            fs = FittedStep(st.kind, _FIT[st.kind](df, cols, st.params))
-            df = fs.apply(df)
-            # predictor set follows the columns each step adds/removes
-            current = [c for c in df.columns if c != self.outcome and c not in self.ids]
-            fitted.append(fs)
-        return PreppedRecipe(self, fitted, df)
+        try:
+            for st in self.steps:
+                cols = self._resolve(st.cols, df, current)
+                fs = FittedStep(st.kind, _FIT[st.kind](df, cols, st.params))
+                df = fs.apply(df)
+                # predictor set follows the columns each step adds/removes
+                current = [c for c in df.columns if c != self.outcome and c not in self.ids]
+                fitted.append(fs)
+        finally:
+            if cached:
+                base.unpersist()
+        return PreppedRecipe(self, fitted, self._bake(train, fitted))
+
+    def _bake(self, df: DataFrame, steps: list[FittedStep]) -> DataFrame:
+        pred = self._predictors(df)
+        out = df.select(*[c for c in df.columns if c in pred or c == self.outcome or c in self.ids])
+        for s in steps:
+            out = s.apply(out)
+        return out
 
 
 class PreppedRecipe:
@@ -150,12 +167,7 @@ class PreppedRecipe:
         self.recipe, self.steps, self._juiced = recipe, steps, juiced
 
     def bake(self, df: DataFrame) -> DataFrame:
-        r = self.recipe
-        pred = r._predictors(df)
-        out = df.select(*[c for c in df.columns if c in pred or c == r.outcome or c in r.ids])
-        for s in self.steps:
-            out = s.apply(out)
-        return out
+        return self.recipe._bake(df, self.steps)
 
     def juice(self) -> DataFrame:
         return self._juiced
@@ -223,8 +235,9 @@ def _apply_range(df, s):
 def _fit_zv(df, cols, p):
     if not cols:
         return {"drop": []}
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    return {"drop": [c for c in cols if (row[c] or 0) <= 1]}
+    # zero variance <=> min == max over non-null values (no distinct-count Expand needed)
+    row = df.agg(*[F.min(c).alias(f"a_{c}") for c in cols], *[F.max(c).alias(f"b_{c}") for c in cols]).first()
+    return {"drop": [c for c in cols if row[f"a_{c}"] is None or row[f"a_{c}"] == row[f"b_{c}"]]}
 
 
 def _apply_drop(df, s):
