@@ -257,8 +257,10 @@ def slice_max(df: DataFrame, by: Sequence[str], order: str, n: int, with_ties: b
     ranking window lets Spark insert a partial WindowGroupLimit before the
     shuffle, so a hot group ships only n rows per partition.
     """
-    w = Window.partitionBy(*by).orderBy(F.col(order).desc(), *[F.col(c) for c in tiebreak])
-    r = F.rank().over(w) if with_ties else F.row_number().over(w)
+    if with_ties:
+        r = F.rank().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
+    else:
+        r = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc(), *[F.col(c) for c in tiebreak]))
     return df.withColumn("_r", r).filter(F.col("_r") <= n).drop("_r")
 
 
