@@ -15,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faro.functions.core import col, safe_div
+from faro.operators.ranking import value_rank
 
 # ------------------------------------------------------------------ vector helpers
 
@@ -91,14 +92,23 @@ def scale_matrix(df: DataFrame, key: str, cols: Sequence[str], out: str | None =
 # ------------------------------------------------------------------ k-means
 
 
+def _centers_literal(centers: DataFrame, center_id: str, center_vec: str) -> Column:
+    """The k centres as one literal array<struct<id, v>> (k x dim values, bounded by k)."""
+    rows = sorted(((r[center_id], [float(x) for x in r[center_vec]]) for r in centers.collect()), key=lambda t: t[0])
+    return F.array(*[F.struct(F.lit(cid).alias("id"), F.array(*[F.lit(x) for x in v]).alias("v")) for cid, v in rows])
+
+
 def assign_to_centers(df: DataFrame, vec: str, centers: DataFrame, center_id: str = "cluster",
                       center_vec: str = "center") -> DataFrame:
-    """Nearest centre (squared Euclidean; ties -> smaller id) for each row; centres broadcast (k rows)."""
-    c = centers.select(F.col(center_id).alias("_cid"), F.col(center_vec).alias("_cv"))
-    j = df.crossJoin(F.broadcast(c)).withColumn("_d", _sqdist(F.col(vec), F.col("_cv")))
-    cols = [x for x in df.columns]
-    best = j.groupBy(*cols).agg(F.min(F.struct("_d", "_cid")).alias("_b"))
-    return best.select(*cols, F.col("_b._cid").alias(center_id), F.col("_b._d").alias("sq_distance"))
+    """Nearest centre (squared Euclidean; ties -> smaller id) for each row.
+
+    The k centres become a literal array in the projection, so assignment is
+    a narrow map over the rows: no join, no shuffle.
+    """
+    lit = _centers_literal(centers, center_id, center_vec)
+    best = F.array_min(F.transform(lit, lambda c: F.struct(_sqdist(F.col(vec), c["v"]).alias("d"), c["id"].alias("id"))))
+    return df.withColumn("_b", best).withColumn(center_id, F.col("_b.id")) \
+             .withColumn("sq_distance", F.col("_b.d")).drop("_b")
 
 
 def lloyd_step(df: DataFrame, vec: str, centers: DataFrame, center_id: str = "cluster", center_vec: str = "center") -> DataFrame:
@@ -117,6 +127,10 @@ def kmeans(df: DataFrame, vec: str, k: int, nstart: int = 5, seed: int = 42, max
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    spark = df.sparkSession
+    if k == 1:  # a single cluster is the grand mean (MLlib requires k > 1)
+        c1 = centroids(df.withColumn("_one", F.lit(1)), "_one", vec, out="center").select(F.lit(1).alias("cluster"), "center")
+        return df.withColumn("cluster", F.lit(1)), c1
     data = df.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>"))).persist()
     try:
         best = None
@@ -130,7 +144,6 @@ def kmeans(df: DataFrame, vec: str, k: int, nstart: int = 5, seed: int = 42, max
     finally:
         data.unpersist()
     order = sorted(range(len(centers)), key=lambda i: centers[i])
-    spark = df.sparkSession
     cdf = spark.createDataFrame([(rank + 1, centers[i]) for rank, i in enumerate(order)], "cluster int, center array<double>")
     return assign_to_centers(df, vec, cdf).drop("sq_distance"), cdf
 
@@ -177,25 +190,29 @@ def silhouette(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
     sum_{y in C} ||x - y||^2 = n_C ||x||^2 - 2 x.S_C + Q_C.
     a(x) uses the own cluster with divisor n_C - 1, b(x) the smallest mean
     over the other clusters; s = (b - a) / max(a, b), 0 for singletons.
-    (This is the definition Spark's ``ClusteringEvaluator`` uses.)
+    (This is the definition Spark's ``ClusteringEvaluator`` uses.)  The k
+    cluster statistics are one aggregation; scoring the rows is a projection.
     """
-    st = (df.select(label, vec, F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")).alias("_q"))
-          .select(label, "_q", F.posexplode(vec).alias("_i", "_x")))
-    sums = st.groupBy(label, "_i").agg(F.sum(F.col("_x").cast("double")).alias("_s"))
+    sq = F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    long = df.select(label, F.posexplode(vec).alias("_i", "_x"))
+    sums = long.groupBy(label, "_i").agg(F.sum(F.col("_x").cast("double")).alias("_s"))
     svec = sums.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_s"))), lambda s: s["_s"]).alias("_S"))
-    cq = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"),
-                               F.sum(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))).alias("_Q"))
-    stats = svec.join(cq, label).select(F.col(label).alias("_c"), "_S", "_nc", "_Q")
-    x = df.select(key, vec, label, F.aggregate(vec, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")).alias("_xx"))
-    dotS = F.aggregate(F.zip_with(F.col(vec), F.col("_S"), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, v: acc + v)
-    j = x.crossJoin(F.broadcast(stats)).withColumn("_sum", F.col("_nc") * F.col("_xx") - 2 * dotS + F.col("_Q"))
-    own = F.col("_c") == F.col(label)
-    agg = j.groupBy(key, label).agg(
-        F.max(F.when(own, safe_div(F.col("_sum"), F.col("_nc") - 1))).alias("a"),
-        F.max(F.when(own, F.col("_nc"))).alias("_own_n"),
-        F.min(F.when(~own, F.col("_sum") / F.col("_nc"))).alias("b"))
+    cq = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"), F.sum(sq).alias("_Q"))
+    rows = sorted(svec.join(cq, label).collect(), key=lambda r: r[label])  # k rows
+    lit = F.array(*[F.struct(F.lit(r[label]).alias("c"), F.lit(float(r["_nc"])).alias("n"), F.lit(float(r["_Q"])).alias("q"),
+                             F.array(*[F.lit(float(x)) for x in r["_S"]]).alias("s")) for r in rows])
+    x = df.select(key, label, vec, sq.alias("_xx"))
+    per = F.transform(lit, lambda c: F.struct(c["c"].alias("c"), c["n"].alias("n"), (
+        c["n"] * F.col("_xx") - 2 * F.aggregate(F.zip_with(F.col(vec), c["s"], lambda a, b: a.cast("double") * b), F.lit(0.0),
+                                                lambda acc, v: acc + v) + c["q"]).alias("sum")))
+    x = x.withColumn("_per", per)
+    own = F.filter("_per", lambda c: c["c"] == F.col(label))[0]
+    others = F.filter("_per", lambda c: c["c"] != F.col(label))
+    a = safe_div(own["sum"], own["n"] - 1)
+    b = F.array_min(F.transform(others, lambda c: c["sum"] / c["n"]))
+    out = x.select(key, label, a.alias("a"), b.alias("b"), own["n"].alias("_own_n"))
     s = F.when(F.col("_own_n") <= 1, F.lit(0.0)).otherwise(safe_div(F.col("b") - F.col("a"), F.greatest("a", "b")))
-    return agg.select(key, label, "a", "b", s.alias("silhouette"))
+    return out.select(key, label, "a", "b", s.alias("silhouette"))
 
 
 def silhouette_summary(sil: DataFrame, label: str) -> DataFrame:
@@ -380,5 +397,5 @@ def contributions(loadings: DataFrame) -> DataFrame:
 
 
 def rank_by_pc(scores: DataFrame, key: str, pc: str = "PC1") -> DataFrame:
-    w = Window.orderBy(F.desc(pc), key)
-    return scores.withColumn("rank", F.row_number().over(w))
+    """Index ranking by a component score (descending, key tie-breaker)."""
+    return value_rank(scores, pc, [key], descending=True)

@@ -137,3 +137,23 @@ def quantiles_wide(df: DataFrame, value: str, probs: Sequence[float], names: Seq
     q = quantiles(df, value, probs, by)
     w = q.groupBy(*by).pivot("prob", [float(p) for p in probs]).agg(F.first("quantile"))
     return w.select(*by, *[F.col(f"`{float(p)}`").alias(nm) for p, nm in zip(probs, names)])
+
+
+def value_rank(df: DataFrame, order_col: str, tiebreak: Sequence[str] = (), descending: bool = True,
+               out: str = "rank", n_buckets: int = 256) -> DataFrame:
+    """Global 1-based row_number by ``order_col`` (then ``tiebreak``) without one-task windows.
+
+    Rows are cut into range buckets of the order value (approximate
+    quantiles: balanced by construction), counts per bucket become offsets,
+    and row_number runs inside each bucket.
+    """
+    bkt = range_buckets(df, order_col, n_buckets)
+    if descending:
+        bkt = F.lit(n_buckets) - bkt
+    d = df.withColumn("_bkt", bkt)
+    counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_nb"))
+    offs = counts.withColumn("_off", F.sum("_nb").over(Window.orderBy("_bkt")) - F.col("_nb")).drop("_nb")
+    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    w = Window.partitionBy("_bkt").orderBy(oc, *[F.col(c) for c in tiebreak])
+    return (d.join(F.broadcast(offs), "_bkt").withColumn(out, (F.row_number().over(w) + F.col("_off")).cast("int"))
+            .drop("_bkt", "_off"))
