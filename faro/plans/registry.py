@@ -68,6 +68,7 @@ def all_queries() -> dict[str, Query]:
         q_sources,
         q_stream,
         q_text,
+        q_topics,
         q_verbs,
     )
 
