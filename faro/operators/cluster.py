@@ -399,3 +399,14 @@ def contributions(loadings: DataFrame) -> DataFrame:
 def rank_by_pc(scores: DataFrame, key: str, pc: str = "PC1") -> DataFrame:
     """Index ranking by a component score (descending, key tie-breaker)."""
     return value_rank(scores, pc, [key], descending=True)
+
+
+def biplot_data(scores: DataFrame, key: str, loadings: DataFrame, components: DataFrame, scale: float = 1.0) -> DataFrame:
+    """Points (row scores on PC1/PC2) and arrows (loading x sdev x scale) in one table, ``kind`` tells them apart."""
+    sd = {r["pc"]: r["sdev"] for r in components.filter(F.col("pc") <= 2).collect()}
+    arrows = (loadings.filter(F.col("pc") <= 2).groupBy("variable").pivot("pc", [1, 2]).agg(F.first("loading"))
+              .select(F.lit("arrow").alias("kind"), F.col("variable").alias("label"),
+                      (F.col("1") * sd.get(1, 1.0) * scale).alias("x"), (F.col("2") * sd.get(2, 1.0) * scale).alias("y")))
+    points = scores.select(F.lit("point").alias("kind"), F.col(key).cast("string").alias("label"),
+                           F.col("PC1").alias("x"), F.col("PC2").alias("y"))
+    return points.unionByName(arrows)

@@ -387,3 +387,31 @@ def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
     return best.select("variable", F.col("b.value").alias("threshold"),
                        F.col("b.node_gini").alias("node_gini"), F.col("b.weighted_gini").alias("weighted_gini"),
                        (F.col("b.node_gini") - F.col("b.weighted_gini")).alias("gain"))
+
+
+def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
+    """Fill NULL ``target`` values with the mean of the k nearest complete rows (Euclidean on
+    ``features``; ties by key).  Rows to fill are the broadcast query set (size-checked)."""
+    from faro.operators.cluster import distance
+
+    vec = F.array(*[F.col(c).cast("double") for c in features])
+    miss = df.filter(F.col(target).isNull()).select(F.col(key).alias("_q"), vec.alias("_qv"))
+    nq = miss.count()
+    if nq > MAX_BROADCAST_QUERIES:
+        raise ValueError(f"{nq} rows to impute exceed the broadcast bound {MAX_BROADCAST_QUERIES}; impute in batches")
+    done = df.filter(F.col(target).isNotNull()).select(F.col(key).alias("_n"), vec.alias("_nv"), F.col(target).cast("double").alias("_t"))
+    d = done.crossJoin(F.broadcast(miss)).withColumn("_d", distance("_nv", "_qv"))
+    w = Window.partitionBy("_q").orderBy("_d", "_n")
+    nn = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    fill = nn.groupBy("_q").agg(F.avg("_t").alias("_fill"))
+    out = df.join(fill, df[key] == fill["_q"], "left")
+    return out.withColumn(target, F.coalesce(F.col(target).cast("double"), F.col("_fill"))).drop("_q", "_fill")
+
+
+def compare_coefficients(fits: dict, wide: bool = True) -> DataFrame:
+    """Coefficients of several fitted linear models side by side (joined by term) and zero counts."""
+    parts = [tidy(f).select("term", F.col("estimate").alias(name)) for name, f in fits.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "term", "full")
+    return out

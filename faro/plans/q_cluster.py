@@ -228,3 +228,10 @@ def c17_kmeans_on_scores(spark, d):
     sc = C.pca_scores(ind, "country", st).withColumn("pcs", F.array("PC1", "PC2"))
     a, _ = C.kmeans(sc, "pcs", k=3, nstart=3)
     return a.select("country", "PC1", "PC2", "cluster")
+
+
+@query("c17_biplot_data")
+def c17_biplot_data(spark, d):
+    ind = nation_indicators(Tables(spark, d))
+    comps, loads, st = C.pca(ind, IND_COLS, k=2)
+    return C.biplot_data(C.pca_scores(ind, "country", st), "country", loads, comps)

@@ -334,3 +334,30 @@ def v04_grid_random_fit(spark, d):
         p = K.fit(K.logistic_reg(penalty=g["penalty"]), train, "y", FEATS, LEVELS).predict(test)
         rows.append((int(g["config"]), float(g["penalty"]), float(M.roc_auc(p, "y", "pred_si", "si").first()["roc_auc"])))
     return spark.createDataFrame(rows, "config int, penalty double, roc_auc double")
+
+
+@query("r08_learning_curve")
+def r08_learning_curve(spark, d):
+    """Train and test accuracy of a logistic fit on nested training fractions."""
+    train, test = _split(spark, d)
+    fr = [0.25, 0.5, 1.0]
+    sets = R.learning_curve_sets(train, "id", fr, seed=42).cache()
+    rows = []
+    for f in fr:
+        sub = sets.filter(F.col("min_fraction") <= f).drop("min_fraction")
+        m = K.fit(K.logistic_reg(), sub, "y", FEATS, LEVELS)
+        a_tr = M.accuracy(m.predict(sub), "y", "pred_class").first()["accuracy"]
+        a_te = M.accuracy(m.predict(test), "y", "pred_class").first()["accuracy"]
+        rows.append((f, sub.count(), float(a_tr), float(a_te)))
+    sets.unpersist()
+    return spark.createDataFrame(rows, "fraction double, n_train long, train_accuracy double, test_accuracy double")
+
+
+@query("k14_coefficient_comparison")
+def k14_coefficient_comparison(spark, d):
+    """OLS, ridge, LASSO and elastic-net coefficients side by side (joined by term)."""
+    it = items(Tables(spark, d)).withColumn("price_k", F.col("l_extendedprice") / 1000)
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    fits = {"ols": K.fit(K.linear_reg(), it, "price_k", feats), "ridge": K.fit(K.linear_reg(1.0, 0.0), it, "price_k", feats),
+            "lasso": K.fit(K.linear_reg(1.0, 1.0), it, "price_k", feats), "enet": K.fit(K.linear_reg(1.0, 0.5), it, "price_k", feats)}
+    return K.compare_coefficients(fits)

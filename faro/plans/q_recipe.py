@@ -168,3 +168,19 @@ def f14_step_poly(spark, d):
     """Orthogonal polynomial columns of price on the training split (property-checked)."""
     train, test = _split(spark, d)
     return Recipe("y", ids=["id"], predictors=["price"]).step_poly(["price"], degree=3).prep(train).juice()
+
+
+@query("f08_impute_knn", """WITH co AS (SELECT c.c_custkey AS id, c.c_acctbal / 1000 AS bal, o.price FROM customer c
+  LEFT JOIN (SELECT o_custkey, max(o_totalprice) / 1000 AS price FROM orders GROUP BY 1) o ON c.c_custkey = o.o_custkey),
+q AS (SELECT id, bal FROM co WHERE price IS NULL), done AS (SELECT id, bal, price FROM co WHERE price IS NOT NULL),
+d AS (SELECT q.id AS qid, done.price, row_number() OVER (PARTITION BY q.id ORDER BY abs(done.bal - q.bal), done.id) AS r FROM q, done),
+f AS (SELECT qid, avg(price) AS fill FROM d WHERE r <= 5 GROUP BY 1)
+SELECT id, COALESCE(price, fill) AS price FROM co LEFT JOIN f ON co.id = f.qid""", dbl=["price"])
+def f08_impute_knn(spark, d):
+    from faro.operators.models import knn_impute
+
+    t = Tables(spark, d)
+    o = t.orders.groupBy("o_custkey").agg((F.max("o_totalprice") / 1000).alias("price"))
+    co = (t.customer.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 1000).alias("bal"))
+          .join(o, F.col("id") == F.col("o_custkey"), "left").drop("o_custkey"))
+    return knn_impute(co, "id", "price", ["bal"], k=5).select("id", "price")
