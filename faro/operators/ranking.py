@@ -25,6 +25,20 @@ from pyspark.sql import functions as F
 HASH_PREFIX_DIGITS = 3
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    Used on aggregated intermediates that feed several branches of a plan
+    (bucket splits, offsets, the main join), so the raw input is scanned
+    once instead of once per branch.  Files go to the shared folder named by
+    ``spark.checkpoint.dir`` and survive the loss of an executor.
+    """
+    from faro.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def hash_rank(df: DataFrame, hash_col: str, groups: Sequence[str] = (), tiebreak: Sequence[str] = (),
               out: str = "_rank", total: str | None = "_n") -> DataFrame:
     """1-based rank of each row by ``hash_col`` (hex string) within ``groups``.
@@ -71,6 +85,7 @@ def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], group
     tables (e.g. one row per distinct score), where keys are unique.
     """
     groups = list(groups)
+    df = materialize(df)
     bkt = range_buckets(df, order_col, n_buckets)
     if descending:
         bkt = F.lit(n_buckets) - bkt
@@ -113,8 +128,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     spark = df.sparkSession
     v = F.col(value).cast("double")
     vc = df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sums(vc, "_v", ["_c"], by)  # adds _c_cum (inclusive)
-    n = vc.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    cum = materialize(running_sums(vc, "_v", ["_c"], by))  # adds _c_cum (inclusive)
+    n = cum.groupBy(*by).agg(F.sum("_c").alias("_n"))
     pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
     tgt = (n.crossJoin(F.broadcast(pr))
            .withColumn("_h", (F.col("_n") - 1) * F.col("prob") + 1)
