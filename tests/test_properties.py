@@ -160,8 +160,13 @@ def test_lsa_singular_values_sorted(spark):
     from faro.plans.q_text import _clean
 
     w = TX.tf_idf(TX.dtm_triples(_clean(spark, SMOKE), "doc_id"), "doc_id")
-    _, tv, s = TP.lsa(w, "doc_id", 4)
+    dv, tv, s = TP.lsa(w, "doc_id", 4)
     assert s == sorted(s, reverse=True) and all(x > 0 for x in s)
+    # V has unit columns, so the term vectors V S have norm s_j per dimension; U S likewise for documents
+    tn = {r.dim: r.n2 for r in tv.groupBy("dim").agg(F.sum(F.col("value") ** 2).alias("n2")).collect()}
+    dn = {r.dim: r.n2 for r in dv.groupBy("dim").agg(F.sum(F.col("value") ** 2).alias("n2")).collect()}
+    for j, sj in enumerate(s, start=1):
+        assert tn[j] == pytest.approx(sj * sj, rel=1e-6) and dn[j] == pytest.approx(sj * sj, rel=1e-6)
 
 
 def test_stream_equals_batch(spark):
