@@ -104,11 +104,17 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (output normalisation for comparisons)."""
+    """Round every double/float column (output normalisation for comparisons).
+
+    Computed as round(x * 10^d) / 10^d: integer rounding of the same IEEE
+    product behaves identically across engines, whereas rounding at d
+    decimals may treat a tie in the decimal representation differently.
+    """
+    scale = float(10 ** digits)
     exprs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            exprs.append((F.round(F.col(f.name).cast("double") * scale) / scale).alias(f.name))
         else:
             exprs.append(F.col(f.name))
     return df.select(*exprs)

@@ -263,7 +263,7 @@ _prices = ", ".join(f"('{m}', {p})" for m, p in PRICES)
 @query("n16_cost_estimate", rf"""WITH w AS (SELECT lang, CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS INTEGER) AS words FROM documents),
 t AS (SELECT lang, sum(words) AS words, count(*) AS n_texts FROM w GROUP BY 1),
 p AS (SELECT model, CAST(usd AS DOUBLE) AS usd_per_million FROM (VALUES {_prices}) v(model, usd))
-SELECT lang, CAST(words AS BIGINT) AS words, n_texts, words * 1.3 AS tokens, model, usd_per_million, words * 1.3 / 1e6 * usd_per_million AS cost_usd FROM t, p""",
+SELECT lang, CAST(words AS BIGINT) AS words, n_texts, words * CAST(1.3 AS DOUBLE) AS tokens, model, usd_per_million, words * CAST(1.3 AS DOUBLE) / 1e6 * usd_per_million AS cost_usd FROM t, p""",
        dbl=["tokens", "usd_per_million", "cost_usd"])
 def n16_cost_estimate(spark, d):
     from faro.operators.features import text_length_features

@@ -35,7 +35,8 @@ class Query:
             return None
         if not self.dbl and not self.big:
             return self.sql
-        rep = ", ".join([f"ROUND(CAST({c} AS DOUBLE), {DIGITS}) AS {c}" for c in self.dbl]
+        scale = 10 ** DIGITS
+        rep = ", ".join([f"ROUND(CAST({c} AS DOUBLE) * {scale}) / {scale} AS {c}" for c in self.dbl]
                         + [f"CAST({c} AS BIGINT) AS {c}" for c in self.big])
         return f"SELECT * REPLACE ({rep}) FROM (\n{self.sql}\n) AS q"
 
