@@ -309,8 +309,22 @@ def rolling(df: DataFrame, key: str, ts: str, value: str, seconds: int, chunk_se
             .withColumn("roll_mean", F.avg(v).over(w)).filter(~F.col("_ctx")).drop("_t", "_chunk", "_ctx"))
 
 
-def lag_diff(df: DataFrame, key: str, order: str, value: str, out: str = "diff") -> DataFrame:
-    """Difference to the previous row of the same key (per-key window)."""
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumn(out, col(value) - F.lag(value).over(w))
-
+def lag_diff(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, out: str = "diff",
+             chunk_seconds: int = 86400) -> DataFrame:
+    """value minus the previous row's value of the same key, ordered by (ts, tiebreak).
+
+    Rows are windowed per (key, time chunk), so a key holding a third of all
+    rows is spread over its chunks.  The first row of a chunk takes its
+    predecessor from the last row of the key's previous non-empty chunk: one
+    aggregation per (key, chunk) and a window over that small chunk table.
+    """
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = df.withColumn("_chunk", F.floor(t / (chunk_seconds * 1_000_000)).cast("bigint"))
+    w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("_prev", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    last = d.groupBy(key, "_chunk").agg(F.max(F.struct(F.col(ts), F.col(tiebreak), F.col(value).alias("v"))).alias("_last"))
+    cw = Window.partitionBy(key).orderBy("_chunk")
+    prev_chunk = last.select(key, "_chunk", F.lag("_last").over(cw).alias("_pl")).select(key, "_chunk", F.col("_pl.v").alias("_pv"))
+    j = d.join(prev_chunk, [key, "_chunk"], "left")
+    prev = F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_prev"))
+    return j.withColumn(out, col(value) - prev).drop("_chunk", "_prev", "_rn", "_pv")

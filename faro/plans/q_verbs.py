@@ -326,7 +326,5 @@ def w06_rolling(spark, d):
 
 @query("w06_lag_diff", """SELECT event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS diff FROM events""", dbl=["diff"])
 def w06_lag_diff(spark, d):
-    e = Tables(spark, d).events
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select("event_id", (F.col("value") - F.lag("value").over(w)).alias("diff"))
+    e = Tables(spark, d).events.select("event_id", "user_id", "ts", "value")
+    return V.lag_diff(e, "user_id", "ts", "value", "event_id").select("event_id", "diff")
