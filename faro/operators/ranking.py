@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # md5 hex prefix length used for random-order buckets: 3 hex digits = 4096 buckets
@@ -59,21 +59,23 @@ def hash_rank(df: DataFrame, hash_col: str, groups: Sequence[str] = (), tiebreak
     return joined.withColumn(out, (F.row_number().over(w) + F.col("_off")).cast("bigint")).drop("_bkt", "_off")
 
 
-def range_buckets(df: DataFrame, order_col: str, n_buckets: int = 256) -> Column:
-    """Monotone bucket id for ``order_col`` from approximate quantile splits.
+def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = 256, out: str = "_bkt") -> DataFrame:
+    """Add a monotone bucket id for ``order_col`` cut at approximate quantile splits.
 
     Approximate splits only decide *where* rows are cut into buckets; any
-    monotone cut gives the exact same running sums.  The split array has at
-    most ``n_buckets`` values, so it is a bounded driver-side constant.
+    monotone cut gives the exact same running sums and ranks.  The split
+    array has at most ``n_buckets`` values (a bounded driver-side constant);
+    assignment is MLlib's ``Bucketizer`` (a JVM binary search per row).
+    NULL order values land in the last bucket.
     """
+    from pyspark.ml.feature import Bucketizer
+
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("q")).first()
-    splits = sorted(set(x for x in (row["q"] or []) if x is not None))
-    if not splits:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(s)) for s in splits])
-    # number of splits strictly below the value: monotone non-decreasing in order_col
-    return F.size(F.filter(arr, lambda s: s < F.col(order_col).cast("double"))).cast("int")
+    splits = sorted(set(float(x) for x in (row["q"] or []) if x is not None and x == x and abs(x) != float("inf")))
+    d = df.withColumn("_ord_d", F.col(order_col).cast("double"))
+    b = Bucketizer(splits=[-float("inf")] + splits + [float("inf")], inputCol="_ord_d", outputCol=out, handleInvalid="keep")
+    return b.transform(d).withColumn(out, F.col(out).cast("int")).drop("_ord_d")
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], groups: Sequence[str] = (),
@@ -85,11 +87,9 @@ def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], group
     tables (e.g. one row per distinct score), where keys are unique.
     """
     groups = list(groups)
-    df = materialize(df)
-    bkt = range_buckets(df, order_col, n_buckets)
+    df = with_range_bucket(materialize(df), order_col, n_buckets)
     if descending:
-        bkt = F.lit(n_buckets) - bkt
-    df = df.withColumn("_bkt", bkt)
+        df = df.withColumn("_bkt", F.lit(n_buckets + 1) - F.col("_bkt"))
     tots = df.groupBy(*groups, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_bkt")
     for c in value_cols:
@@ -162,10 +162,9 @@ def value_rank(df: DataFrame, order_col: str, tiebreak: Sequence[str] = (), desc
     quantiles: balanced by construction), counts per bucket become offsets,
     and row_number runs inside each bucket.
     """
-    bkt = range_buckets(df, order_col, n_buckets)
+    d = with_range_bucket(df, order_col, n_buckets)
     if descending:
-        bkt = F.lit(n_buckets) - bkt
-    d = df.withColumn("_bkt", bkt)
+        d = d.withColumn("_bkt", F.lit(n_buckets + 1) - F.col("_bkt"))
     counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_nb"))
     offs = counts.withColumn("_off", F.sum("_nb").over(Window.orderBy("_bkt")) - F.col("_nb")).drop("_nb")
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
