@@ -134,3 +134,9 @@ def dot(a: str | Column, b: str | Column) -> Column:
     a, b = col(a), col(b)
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
                        lambda acc, v: acc + v)
+
+
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp column, independent of the session time zone
+    for zone-less timestamps (the testdata loads as TIMESTAMP_NTZ)."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{ts}` AS TIMESTAMP_NTZ))")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faro.functions.core import col, level_index
+from faro.functions.core import col, epoch_micros, level_index
 
 
 def rfm_features(events: DataFrame, key: str, ts: str, amount: str, as_of: str) -> DataFrame:
@@ -18,7 +18,7 @@ def rfm_features(events: DataFrame, key: str, ts: str, amount: str, as_of: str)
     (per day).  Partial aggregation runs map-side, so a hot key costs no
     more than any other.
     """
-    t_days = F.unix_micros(F.col(ts).cast("timestamp")) / 86_400_000_000.0
+    t_days = epoch_micros(ts) / 86_400_000_000.0
     asof = F.to_timestamp(F.lit(as_of))
     return events.groupBy(key).agg(
         F.datediff(asof, F.min(ts)).alias("days_since_first"),

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faro.functions.core import col, cut_by_bounds, cut_expr, numeric_columns, safe_div, stable_hash
+from faro.functions.core import col, epoch_micros, cut_by_bounds, cut_expr, numeric_columns, safe_div, stable_hash
 from faro.operators.ranking import quantiles
 
 # ---------------------------------------------------------------- P: rows/cols
@@ -297,7 +297,7 @@ def rolling(df: DataFrame, key: str, ts: str, value: str, seconds: int, chunk_se
     chunk = chunk_seconds or max(seconds * 8, 86400)
     if chunk < seconds:
         raise ValueError("chunk must be at least the window length")
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    t = epoch_micros(ts)
     d = df.withColumn("_t", t).withColumn("_chunk", F.floor(F.col("_t") / (chunk * 1_000_000)).cast("bigint"))
     own = d.withColumn("_ctx", F.lit(False))
     nxt = (d.filter(F.col("_t") > (F.col("_chunk") + 1) * chunk * 1_000_000 - seconds * 1_000_000)
@@ -318,7 +318,7 @@ def lag_diff(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, out: s
     predecessor from the last row of the key's previous non-empty chunk: one
     aggregation per (key, chunk) and a window over that small chunk table.
     """
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    t = epoch_micros(ts)
     d = df.withColumn("_chunk", F.floor(t / (chunk_seconds * 1_000_000)).cast("bigint"))
     w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts), F.col(tiebreak))
     d = d.withColumn("_prev", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
