@@ -215,3 +215,31 @@ def test_ridge_cv_from_gram_matches_refit(spark):
     Xt = np.c_[np.ones(len(te)), te[["price_k", "balance_k"]]]
     rmse = float(np.sqrt(np.mean((te["t"] - Xt @ b) ** 2)))
     assert cv[(0.0, 1)] == pytest.approx(rmse, rel=1e-8)
+
+
+def test_ranks_and_running_sums_match_global_window(spark):
+    """Two-level ranks / running sums equal one global window, under any partitioning."""
+    from pyspark.sql import Window
+
+    from faro.operators.ranking import running_sums, value_rank
+
+    df = spark.range(0, 3000).select(F.col("id"), ((F.col("id") * 7919) % 1013).cast("double").alias("v"),
+                                     (F.col("id") % 3).alias("g"))
+    r1 = value_rank(df.repartition(5), "v", ["id"], descending=True).select("id", "rank")
+    r2 = df.select("id", F.row_number().over(Window.orderBy(F.desc("v"), "id")).alias("rank"))
+    assert r1.exceptAll(r2).count() == 0
+    agg = df.groupBy("g", "v").agg(F.count("*").alias("c"))
+    rs = running_sums(agg.repartition(7), "v", ["c"], ["g"]).select("g", "v", "c_cum")
+    ref = agg.select("g", "v", F.sum("c").over(Window.partitionBy("g").orderBy("v")).alias("c_cum"))
+    assert rs.exceptAll(ref).count() == 0
+
+
+def test_auc_invariant_to_partitioning(spark):
+    from faro.operators import metrics as M
+    from faro.plans.inputs import scored
+    from faro.sources.tables import Tables
+
+    s = scored(Tables(spark, SMALL))
+    a = {r.grp: r.roc_auc for r in M.roc_auc(s, "truth", "score", 1, by=["grp"]).collect()}
+    b = {r.grp: r.roc_auc for r in M.roc_auc(s.repartition(11, "doc_id"), "truth", "score", 1, by=["grp"]).collect()}
+    assert a == pytest.approx(b)
