@@ -188,18 +188,23 @@ def calibrate_by_group(df: DataFrame, truth: str, score: str, group: str, bins:
 
 
 def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Cramér's V between two categorical columns from the contingency table."""
+    """Cramér's V between two categorical columns.
+
+    chi^2 over all cells = sum over observed cells of (o - e)^2 / e plus,
+    for the empty cells, the sum of their expected counts, which equals
+    n - (sum of e over observed cells).  So only observed cells are visited.
+    """
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     ca = df.groupBy(a).agg(F.count(F.lit(1)).alias("_na"))
     cb = df.groupBy(b).agg(F.count(F.lit(1)).alias("_nb"))
     cab = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_nab"))
-    cells = ca.crossJoin(cb).join(cab, [a, b], "left").crossJoin(n)
+    k = ca.agg(F.count(F.lit(1)).alias("ka")).crossJoin(cb.agg(F.count(F.lit(1)).alias("kb")))  # one row x one row
+    cells = cab.join(ca, a).join(cb, b).crossJoin(F.broadcast(n))  # attach the scalar n
     e = F.col("_na").cast("double") * F.col("_nb") / F.col("_n")
-    o = F.coalesce(F.col("_nab"), F.lit(0)).cast("double")
-    chi = cells.agg(F.sum((o - e) * (o - e) / e).alias("chi2"), F.first("_n").alias("n"),
-                    F.countDistinct(a).alias("ka"), F.countDistinct(b).alias("kb"))
-    return chi.select("chi2", safe_div(F.col("chi2"), F.col("n") * (F.least("ka", "kb") - 1)).alias("v2")) \
-              .select("chi2", F.sqrt("v2").alias("cramers_v"))
+    o = F.col("_nab").cast("double")
+    obs = cells.agg(F.sum((o - e) * (o - e) / e).alias("_chi_obs"), F.sum(e).alias("_e_obs"), F.first("_n").alias("n"))
+    chi = obs.crossJoin(k).withColumn("chi2", F.col("_chi_obs") + (F.col("n") - F.col("_e_obs")))
+    return chi.select("chi2", F.sqrt(safe_div(F.col("chi2"), F.col("n") * (F.least("ka", "kb") - 1))).alias("cramers_v"))
 
 
 def proxy_scan(df: DataFrame, protected: str, categorical: Sequence[str] = (), numeric: Sequence[str] = ()) -> DataFrame:

@@ -88,12 +88,18 @@ def freq_prop(df: DataFrame, cols: Sequence[str], within: Sequence[str] = ()) ->
 
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Long cross-tab (a, b, n) with zero cells kept (levels crossed)."""
-    la = df.select(a).distinct()
-    lb = df.select(b).distinct()
-    counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    return (la.crossJoin(lb).join(counts, [a, b], "left")
-            .select(a, b, F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+    """Long cross-tab (a, b, n) with zero cells kept.
+
+    Counted with a pivot on ``b`` (its levels are discovered by Spark and
+    bounded by ``spark.sql.pivotMaxValues``), zero-filled and unpivoted:
+    every (a, b) cell appears without crossing two data-derived tables.
+    """
+    btype = df.schema[b].dataType
+    w = df.filter(F.col(b).isNotNull()).groupBy(a).pivot(b).agg(F.count(F.lit(1)))
+    levels = [c for c in w.columns if c != a]
+    w = w.fillna(0, subset=levels)
+    long = w.unpivot([a], [F.col(f"`{c}`").cast("bigint").alias(c) for c in levels], "_b", "n")
+    return long.select(a, F.col("_b").cast(btype).alias(b), "n")
 
 
 def contingency_wide(df: DataFrame, a: str, b: str, b_levels: Sequence[str]) -> DataFrame:
