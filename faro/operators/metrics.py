@@ -127,7 +127,7 @@ def roc_curve(df: DataFrame, truth: str, score: str, event, by: Sequence[str] =
     by = list(by)
     sc = _score_counts(df, truth, score, event, by)
     cum = running_sums(sc, "threshold", ["pos", "neg"], by, descending=True)  # counts with score >= t
-    tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    tot = cum.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))  # reads the checkpointed counts
     j = cum.join(tot, by, "inner") if by else cum.crossJoin(tot)
     pts = j.select(*by, "threshold", safe_div(F.col("pos_cum"), F.col("P")).alias("sensitivity"),
                    (F.lit(1.0) - safe_div(F.col("neg_cum"), F.col("N"))).alias("specificity"))

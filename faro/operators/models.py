@@ -372,7 +372,7 @@ def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
     counts = long.groupBy("variable", "value").agg(*[F.count_if(F.col("_y") == F.lit(k)).alias(f"c_{i}") for i, k in enumerate(classes)])
     cc = [f"c_{i}" for i in range(len(classes))]
     cum = running_sums(counts, "value", cc, ["variable"])
-    tot = counts.groupBy("variable").agg(*[F.sum(c).alias(f"t_{c}") for c in cc])
+    tot = cum.groupBy("variable").agg(*[F.sum(c).alias(f"t_{c}") for c in cc])
     j = cum.join(tot, "variable")
     nl = sum((F.col(f"{c}_cum") for c in cc), F.lit(0)).cast("double")
     nt = sum((F.col(f"t_{c}") for c in cc), F.lit(0)).cast("double")
