@@ -234,7 +234,10 @@ def retrieve(query_terms: DataFrame, doc_weights: DataFrame, qid: str, doc: str,
     the query terms; ``<= k`` keeps k candidates per query per partition.
     """
     s = query_terms.join(doc_weights, "term").groupBy(qid, doc).agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
-    w = Window.partitionBy(qid).orderBy(F.desc("score"), doc)
+    # rank on the score rounded to 1e-9: a floating sum's last bits depend on summation order, and
+    # identical documents must tie (then the key decides) on every run
+    key = F.round(F.col("score") * 1e9)
+    w = Window.partitionBy(qid).orderBy(key.desc(), doc)
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

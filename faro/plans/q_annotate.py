@@ -232,7 +232,7 @@ dt AS (SELECT doc_id, sum(n) AS dt FROM c GROUP BY 1), df AS (SELECT term, count
 w AS (SELECT doc_id, term, n / CAST(dt AS DOUBLE) * ln(nd / CAST(df AS DOUBLE)) AS w FROM c JOIN dt USING (doc_id) JOIN df USING (term), nd),
 q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark),
 s AS (SELECT item_id, doc_id, sum(w) AS score FROM q JOIN w USING (term) GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score * 1e9) DESC, doc_id) AS rank FROM s),
 k AS (SELECT r.*, d.n_chars FROM r JOIN documents d USING (doc_id) WHERE rank <= 3)
 SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank, n_chars, cum_chars FROM (
   SELECT *, sum(n_chars) OVER (PARTITION BY item_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_chars FROM k)
