@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import functools
-import glob
 import os
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,16 +45,21 @@ def char_array(text: str | Column) -> Column:
 
 @functools.lru_cache(maxsize=None)
 def default_stopwords(lang: str) -> tuple[str, ...]:
-    """Spark's built-in stop word list for a language (the files shipped in the MLlib jar,
-    the same lists ``StopWordsRemover.loadDefaultStopWords`` returns)."""
-    import pyspark
+    """Spark's built-in stop word list for a language.
 
+    The four languages of the default pipelines are package data (see
+    ``stopwords/NOTICE``), so no query depends on where Spark's jars lie;
+    other languages ask the running Spark.
+    """
     name = _SPARK_LANG.get(lang, lang)
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found")
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8").split()
+    path = os.path.join(os.path.dirname(os.path.abspath(__file__)), "stopwords", f"{name}.txt")
+    if os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            words = f.read().split()
+    else:
+        from pyspark.ml.feature import StopWordsRemover
+
+        words = StopWordsRemover.loadDefaultStopWords(name)
     return tuple(dict.fromkeys(w.strip() for w in words if w.strip()))
 
 

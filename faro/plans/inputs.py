@@ -4,8 +4,8 @@ Each stand-in has a Spark builder and the same definition as a SQL
 fragment (usable as a CTE in oracle queries).
 
 * ``scored``  -- predictions table: documents joined to gold labels;
-  truth = quality (1 = event), score = min(n_chars, 4000) / 4000, a
-  deterministic monotone scorer; group = language.
+  truth = quality (1 = event), score = n_chars / (n_chars + 4000), a
+  deterministic strictly monotone scorer without a cap; group = language.
 * ``survey``  -- respondents with a binary outcome: orders joined to
   customer and nation; y = 'si' for urgent/high priority.
 * ``items``   -- numeric regression rows from lineitem.
@@ -21,13 +21,13 @@ from faro.sources.tables import Tables
 # fixed values: the survey outcome levels in declared order (event = "si")
 Y_LEVELS = ["no", "si"]
 URGENT = ["1-URGENT", "2-HIGH"]
-SCORE_CAP = 4000
+SCORE_HALF = 4000  # length at which the score is one half
 
 
 def scored(t: Tables) -> DataFrame:
     d = t.documents.select("doc_id", "lang", "n_chars")
     lab = t.labels.select("doc_id", "quality", "toxic")
-    score = F.least(F.col("n_chars"), F.lit(SCORE_CAP)).cast("double") / float(SCORE_CAP)
+    score = F.col("n_chars").cast("double") / (F.col("n_chars") + SCORE_HALF).cast("double")
     return (d.join(lab, "doc_id")
             .select("doc_id", F.col("lang").alias("grp"), F.col("quality").alias("truth"), "toxic",
                     score.alias("score"))
@@ -36,8 +36,8 @@ def scored(t: Tables) -> DataFrame:
 
 SCORED_SQL = f"""
 SELECT d.doc_id, d.lang AS grp, l.quality AS truth, l.toxic,
-       CAST(LEAST(d.n_chars, {SCORE_CAP}) AS DOUBLE) / {SCORE_CAP}.0 AS score,
-       CAST(CAST(LEAST(d.n_chars, {SCORE_CAP}) AS DOUBLE) / {SCORE_CAP}.0 >= 0.5 AS INTEGER) AS pred
+       CAST(d.n_chars AS DOUBLE) / CAST(d.n_chars + {SCORE_HALF} AS DOUBLE) AS score,
+       CAST(CAST(d.n_chars AS DOUBLE) / CAST(d.n_chars + {SCORE_HALF} AS DOUBLE) >= 0.5 AS INTEGER) AS pred
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
 

@@ -80,11 +80,11 @@ def n04_parse_json(spark, d):
     return p.select("event_id", "variant", F.col("parsed.k").alias("k"), "parse_error")
 
 
-@query("n05_unnest_explode_entities", r"""WITH a AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3] AS ents FROM documents)
+@query("n05_unnest_explode_entities", r"""WITH a AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ents FROM documents)
 SELECT doc_id, lang AS resp_lang, CAST(generate_subscripts(ents, 1) AS INTEGER) AS entity_pos, unnest(ents) AS entity FROM a""")
 def n05_unnest_explode_entities(spark, d):
     docs = Tables(spark, d).documents
-    resp = docs.select("doc_id", F.to_json(F.struct("lang", F.slice(TX.tokens("text"), 1, 3).alias("entities"))).alias("json"))
+    resp = docs.select("doc_id", F.to_json(F.struct("lang", TX.tokens("text").alias("entities"))).alias("json"))
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("entities", T.ArrayType(T.StringType()))])
     p = N.unnest_struct(N.parse_json(resp, "json", schema).select("doc_id", "parsed"), "parsed", prefix="resp_")
     return N.explode_entities(p, "resp_entities")
@@ -227,7 +227,7 @@ def n13_compare_synthetic_means(spark, d):
     return N.compare_means_corr(li.filter(F.col("l_returnflag") == "N"), li.filter(F.col("l_returnflag") != "N"), "l_quantity", "l_discount")
 
 
-@query("n14_retrieve_build_context", CLEAN_SQL() + r""", c AS (SELECT doc_id, token AS term, count(*) AS n FROM cl GROUP BY ALL),
+@query("n14_retrieve_build_context", lambda: CLEAN_SQL() + r""", c AS (SELECT doc_id, token AS term, count(*) AS n FROM cl GROUP BY ALL),
 dt AS (SELECT doc_id, sum(n) AS dt FROM c GROUP BY 1), df AS (SELECT term, count(*) AS df FROM c GROUP BY 1), nd AS (SELECT count(*) AS nd FROM dt),
 w AS (SELECT doc_id, term, n / CAST(dt AS DOUBLE) * ln(nd / CAST(df AS DOUBLE)) AS w FROM c JOIN dt USING (doc_id) JOIN df USING (term), nd),
 q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark),

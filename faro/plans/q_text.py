@@ -79,30 +79,30 @@ def _t04_sql():
 SELECT lang, count(*) AS n_tokens FROM tk WHERE NOT EXISTS (SELECT 1 FROM sw WHERE sw.lang = tk.lang AND sw.token = tk.token) GROUP BY lang"""
 
 
-@query("t04_remove_stopwords", _t04_sql())
+@query("t04_remove_stopwords", _t04_sql)
 def t04_remove_stopwords(spark, d):
     t = TX.remove_stopwords(_tok(spark, d), TX.stopwords_table(spark))
     return t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
-@query("t05_drop_numeric_short", CLEAN_SQL() + "SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_types FROM cl GROUP BY lang")
+@query("t05_drop_numeric_short", lambda: CLEAN_SQL() + "SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_types FROM cl GROUP BY lang")
 def t05_drop_numeric_short(spark, d):
     return _clean(spark, d).groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("token").alias("n_types"))
 
 
-@query("t06_cleaning_report", CLEAN_SQL() + """SELECT (SELECT count(*) FROM tk) AS n_before, (SELECT count(*) FROM cl) AS n_after,
+@query("t06_cleaning_report", lambda: CLEAN_SQL() + """SELECT (SELECT count(*) FROM tk) AS n_before, (SELECT count(*) FROM cl) AS n_after,
 100.0 * (1 - (SELECT count(*) FROM cl) / CAST((SELECT count(*) FROM tk) AS DOUBLE)) AS pct_removed""", dbl=["pct_removed"])
 def t06_cleaning_report(spark, d):
     return TX.cleaning_report(_tok(spark, d), _clean(spark, d))
 
 
-@query("t07_term_counts_top", CLEAN_SQL() + """, c AS (SELECT lang, token, count(*) AS n FROM cl GROUP BY ALL)
+@query("t07_term_counts_top", lambda: CLEAN_SQL() + """, c AS (SELECT lang, token, count(*) AS n FROM cl GROUP BY ALL)
 SELECT lang, token, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS r FROM c) WHERE r <= 10""")
 def t07_term_counts_top(spark, d):
     return TX.top_terms(_clean(spark, d), 10, by=["lang"])
 
 
-@query("t07_term_counts_corpus", CLEAN_SQL() + """SELECT token, count(*) AS n FROM cl GROUP BY token ORDER BY n DESC, token LIMIT 15""")
+@query("t07_term_counts_corpus", lambda: CLEAN_SQL() + """SELECT token, count(*) AS n FROM cl GROUP BY token ORDER BY n DESC, token LIMIT 15""")
 def t07_term_counts_corpus(spark, d):
     return TX.top_terms(_clean(spark, d), 15)
 
@@ -130,12 +130,12 @@ def t09_bag_of_words(spark, d):
     return TX.bag_of_words(_tok(spark, d), "doc_id", BOW_TERMS)
 
 
-@query("t10_dtm_triples", CLEAN_SQL() + "SELECT doc_id, token AS term, count(*) AS n FROM cl GROUP BY ALL")
+@query("t10_dtm_triples", lambda: CLEAN_SQL() + "SELECT doc_id, token AS term, count(*) AS n FROM cl GROUP BY ALL")
 def t10_dtm_triples(spark, d):
     return TX.dtm_triples(_clean(spark, d), "doc_id")
 
 
-@query("t10_sparsity_report", CLEAN_SQL() + """, t AS (SELECT doc_id, token, count(*) AS n FROM cl GROUP BY ALL)
+@query("t10_sparsity_report", lambda: CLEAN_SQL() + """, t AS (SELECT doc_id, token, count(*) AS n FROM cl GROUP BY ALL)
 SELECT count(DISTINCT doc_id) AS n_docs, count(DISTINCT token) AS n_terms, count(*) AS non_zero,
 1 - count(*) / (CAST(count(DISTINCT doc_id) AS DOUBLE) * count(DISTINCT token)) AS sparsity FROM t""", dbl=["sparsity"])
 def t10_sparsity_report(spark, d):
@@ -149,12 +149,12 @@ SELECT doc_id, term, n, n / CAST(dt AS DOUBLE) AS tf, ln(nd / CAST(df AS DOUBLE)
 FROM c JOIN dt USING (doc_id) JOIN df USING (term), nd"""
 
 
-@query("t11_tf_idf", CLEAN_SQL() + TFIDF_SQL, dbl=["tf", "idf", "tf_idf"])
+@query("t11_tf_idf", lambda: CLEAN_SQL() + TFIDF_SQL, dbl=["tf", "idf", "tf_idf"])
 def t11_tf_idf(spark, d):
     return TX.tf_idf(TX.dtm_triples(_clean(spark, d), "doc_id"), "doc_id")
 
 
-@query("t12_distinctive_terms", CLEAN_SQL() + """, c AS (SELECT lang, token AS term, count(*) AS n FROM cl GROUP BY ALL),
+@query("t12_distinctive_terms", lambda: CLEAN_SQL() + """, c AS (SELECT lang, token AS term, count(*) AS n FROM cl GROUP BY ALL),
 dt AS (SELECT lang, sum(n) AS dt FROM c GROUP BY 1), df AS (SELECT term, count(*) AS df FROM c GROUP BY 1), nd AS (SELECT count(*) AS nd FROM dt),
 t AS (SELECT lang, term, n, n / CAST(dt AS DOUBLE) AS tf, ln(nd / CAST(df AS DOUBLE)) AS idf, n / CAST(dt AS DOUBLE) * ln(nd / CAST(df AS DOUBLE)) AS tf_idf
 FROM c JOIN dt USING (lang) JOIN df USING (term), nd)
@@ -250,7 +250,7 @@ def t22_cosine_topk(spark, d):
     return TX.cosine_topk(cent, emb, "label", "vec_id", "centroid", "embedding", 5)
 
 
-@query("t23_doc_vectors", CLEAN_SQL() + """, v AS (SELECT doc_id, list_transform(range(0, 8), lambda i: CAST(('0x' || substr(md5(token), 2 * i + 1, 2)) AS INTEGER) / 255.0 - 0.5) AS vec FROM cl),
+@query("t23_doc_vectors", lambda: CLEAN_SQL() + """, v AS (SELECT doc_id, list_transform(range(0, 8), lambda i: CAST(('0x' || substr(md5(token), 2 * i + 1, 2)) AS INTEGER) / 255.0 - 0.5) AS vec FROM cl),
 x AS (SELECT doc_id, generate_subscripts(vec, 1) AS dim, unnest(vec) AS x FROM v)
 SELECT doc_id, CAST(dim AS INTEGER) AS dim, avg(x) AS value FROM x GROUP BY ALL""", dbl=["value"])
 def t23_doc_vectors(spark, d):

@@ -22,7 +22,7 @@ DIGITS = 6
 class Query:
     name: str
     build: Callable[[SparkSession, str], DataFrame]
-    sql: str | None = None
+    sql: str | Callable[[], str] | None = None  # a callable is resolved only when the oracle is asked for
     dbl: Sequence[str] = field(default_factory=tuple)
     big: Sequence[str] = field(default_factory=tuple)
     check: str = "O"  # O = SQL oracle, P = property test (tests/), F = fixture
@@ -33,18 +33,19 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
+        sql = self.sql() if callable(self.sql) else self.sql
         if not self.dbl and not self.big:
-            return self.sql
+            return sql
         scale = 10 ** DIGITS
         rep = ", ".join([f"ROUND(CAST({c} AS DOUBLE) * {scale}) / {scale} AS {c}" for c in self.dbl]
                         + [f"CAST({c} AS BIGINT) AS {c}" for c in self.big])
-        return f"SELECT * REPLACE ({rep}) FROM (\n{self.sql}\n) AS q"
+        return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, dbl: Sequence[str] = (), big: Sequence[str] = (), check: str = "P"):
+def query(name: str, sql: str | Callable[[], str] | None = None, dbl: Sequence[str] = (), big: Sequence[str] = (), check: str = "P"):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
