@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from faro.llm.common import cut, fresh, hash_sample, sample_rate, spans_of
 
-LABELLERS = ("symbols", "capitals", "menu", "exclaims", "repeats", "sentences", "word_length", "word_count", "letters")
+LABELLERS = ("symbols", "capitals", "menu", "exclaims", "repeats", "variety", "sentences", "word_length", "word_count", "letters")
+WINDOW = 100         # words over which variety is measured
 # per byte: 1 upper-case letter, 2 lower-case letter or part of a longer character, 3 digit, 4 symbol, 5 sentence end, 6 space, 0 other
 KIND = np.zeros(256, dtype=np.uint8)
 KIND[65:91], KIND[97:123], KIND[128:], KIND[48:58] = 1, 2, 2, 3
@@ -54,27 +55,33 @@ def votes(text: str | None) -> list[int]:
     mean = len("".join(words)) / len(words) if words else 0.0
     alpha = (kinds[1] + kinds[2]) / solid
 
+    distinct = [len(set(words[k:k + WINDOW])) / len(words[k:k + WINDOW]) for k in range(0, max(len(words) - WINDOW // 2, 1), WINDOW)] if words else [1.0]
+    variety = sum(distinct) / len(distinct)
+    never = (2.0, -1.0)   # an empty range: the labeller does not vote good
+
     def vote(x: float, good: tuple[float, float], bad: tuple[float, float]) -> int:
         return 0 if good[0] <= x <= good[1] else 1 if x < bad[0] or x > bad[1] else -1
 
     return [
-        vote(symbol, (0, 0.01), (0, 0.05)), vote(upper, (0.002, 0.15), (0, 0.4)), vote(pipes, (-1, 0), (-1, 0.1)),
-        vote(exclaims, (-1, 0.05), (-1, 0.3)), vote(repeated, (-1, 0.1), (-1, 0.35)), vote(ends, (0.02, 0.3), (0.004, 0.7)),
-        vote(mean, (3.5, 9), (2.5, 12)), vote(float(len(words)), (50, 1e12), (15, 1e12)), vote(alpha, (0.85, 1), (0.7, 1)),
+        vote(symbol, never, (0, 0.05)), vote(upper, never, (0, 0.4)), vote(pipes, never, (0, 0.1)),
+        vote(exclaims, never, (0, 0.3)), vote(repeated, never, (0, 0.35)), vote(variety, (0.55, 0.999), (0.35, 1)),
+        vote(ends, (0.02, 0.3), (0.004, 0.7)), vote(mean, never, (2.5, 12)), vote(float(len(words)), (50, 1e12), (10, 1e12)),
+        vote(alpha, (0.85, 1), (0.7, 1)),
     ]
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: float = 0.15) -> tuple[float, np.ndarray, np.ndarray]:
     """EM over vote patterns (rows of 1, 0, -1): share of bad, per-labeller vote table (labeller, class, vote), posteriors of bad.
 
-    Votes of a class are multinomial (good, bad, abstain); the start, each
-    labeller right eight times in ten, fixes which class is the bad one, and
-    one pseudo-count a cell keeps the estimates inside (0, 1).
+    Votes of a class are multinomial (good, bad, abstain).  The start (a bad
+    vote is rare on good documents, and good votes are commoner on them) fixes
+    which class is the bad one; one pseudo-count a cell keeps the estimates
+    inside (0, 1).
     """
     k = patterns.shape[1]
     table = np.empty((k, 2, 3))
     for c in (0, 1):
-        table[:, c, :] = [0.6 if c == 0 else 0.15, 0.6 if c == 1 else 0.15, 0.25]
+        table[:, c, :] = [[0.5, 0.02, 0.48], [0.3, 0.3, 0.4]][c]
     at = np.where(patterns < 0, 2, patterns)
     post = np.zeros(len(patterns))
     for _ in range(rounds):
