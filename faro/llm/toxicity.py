@@ -1,6 +1,7 @@
 """Toxicity by a counterfactual-regularised linear classifier.
 
-Presence of words is scored by logistic regression.  Every labelled text that
+Presence of words and of word beginnings (4 to 6 letters, so that inflected
+forms count together) is scored by logistic regression.  Every labelled text that
 names a group (an identity term) has a counterfactual twin with the term
 swapped for another of its kind; the squared difference of the two scores is
 a penalty, so that the classifier learns the insult and not the group.  The
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faro.llm.common import fresh, hash_sample, sample_rate, spans_of
@@ -36,6 +37,7 @@ IDENTITY = (
 )
 WORD = re.compile(r"[^\W\d_]+")
 SPARK_WORD = r"\p{L}++"
+BEGIN = (4, 5, 6)      # letters of a word beginning; written ^...
 
 
 @dataclass
@@ -44,6 +46,13 @@ class Model:
     bias: float
 
 
+def presence(text: Column) -> Column:
+    """Distinct features of a text: its words, and the beginnings of words that are longer."""
+    ws = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(SPARK_WORD), 0))
+    begins = [F.transform(F.filter(ws, lambda w: F.length(w) > k), lambda w: F.concat(F.lit("^"), F.substring(w, 1, k))) for k in BEGIN]
+    return F.array_distinct(F.concat(ws, *begins))
+
+
 def _swaps(groups) -> dict[str, str]:
     return {w: g[(k + 1) % len(g)] for g in groups for k, w in enumerate(g)}
 
@@ -103,10 +112,14 @@ def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[tuple[int, int
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", groups=IDENTITY,
-        vocabulary: int = 2048, max_rows: int = 20_000, min_texts: int = 5, lasso: float = 2e-4, fairness: float = 1.0) -> Model:
-    """Learn from the rows whose label is 0 or 1 (others, and null texts, are no evidence)."""
+        vocabulary: int = 4096, max_rows: int = 20_000, min_texts: int = 5, min_z: float = 6.0, lasso: float = 1e-4, fairness: float = 1.0) -> Model:
+    """Learn from the rows whose label is 0 or 1 (others, and null texts, are no evidence).
+
+    Kept are the features of at least ``min_texts`` texts whose presence goes
+    with the label beyond ``min_z`` standard errors.
+    """
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"))
-    rows = rows.filter("t is not null and y in (0, 1)").withColumn("ws", F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(SPARK_WORD), 0)))
+    rows = rows.filter("t is not null and y in (0, 1)").withColumn("ws", presence(F.col("t")))
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
     n, p = sizes["n"], sizes["p"]
     if not n or not p or p == n:
@@ -116,7 +129,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     stat = rows.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("k"))
     q = p / n
     z = (F.col("k") - F.col("c") * q) / F.sqrt(F.col("c") * q * (1 - q) * F.greatest(1 - F.col("c") / F.lit(float(n)), F.lit(1e-3)))
-    best = stat.filter(F.col("c") >= min_texts).withColumn("z", F.abs(z)).orderBy(F.desc("z"), "w").limit(vocabulary).select("w").collect()
+    best = stat.filter(F.col("c") >= min_texts).withColumn("z", F.abs(z)).filter(F.col("z") > min_z).orderBy(F.desc("z"), "w").limit(vocabulary).select("w").collect()
     terms = sorted({w for g in groups for w in g})
     words = list(dict.fromkeys([r["w"] for r in best] + terms))  # bounded by the vocabulary
     at = {w: k for k, w in enumerate(words)}
@@ -132,13 +145,26 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     return Model({words[k]: float(w[k]) for k in np.flatnonzero(w)}, float(b))
 
 
-def score_text(text: str | None, weights: dict[str, float], bias: float) -> float:
+def score_text(text: str | None, weights: dict[str, float], bias: float, begins: dict[int, set[str]] | None = None) -> float:
     known: set[str] = set()
+    begins = beginnings(weights) if begins is None else begins
     for part in spans_of(text or ""):
-        known |= weights.keys() & set(WORD.findall(part.lower()))
+        ws = set(WORD.findall(part.lower()))
+        known |= weights.keys() & ws
+        for k, some in begins.items():
+            known.update("^" + b for b in some & {w[:k] for w in ws if len(w) > k})
     return float(_sigmoid(bias + sum(weights[w] for w in sorted(known))))
 
 
+def beginnings(weights: dict[str, float]) -> dict[int, set[str]]:
+    """The weighted word beginnings by their length, without the mark."""
+    out: dict[int, set[str]] = {}
+    for w in weights:
+        if w[0] == "^":
+            out.setdefault(len(w) - 1, set()).add(w[1:])
+    return out
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability (0 to 1) that a text is toxic.
 
@@ -150,7 +176,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
         m = shared.value
-        return pd.Series([score_text(t, m.weights, m.bias) for t in texts], dtype="float64")
+        begins = beginnings(m.weights)
+        return pd.Series([score_text(t, m.weights, m.bias, begins) for t in texts], dtype="float64")
 
     return docs.withColumn(out, run(F.col(text_col)))
 
