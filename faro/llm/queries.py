@@ -51,7 +51,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learned from the labels of the documents table, without the held-out fifth."""
     labels = read(spark, sf_dir, "labels").filter(id_crc("doc_id") % 5 != 0).select("doc_id", "toxic")
-    return toxicity.fit(read(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.fit(read(spark, sf_dir, "documents"), labels)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

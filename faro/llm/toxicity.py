@@ -8,10 +8,10 @@ a penalty, so that the classifier learns the insult and not the group.  The
 lasso keeps words out that carry no evidence, so long clean texts do not add
 up to a toxic one.
 
-Word statistics cover all labelled rows and are counted by Spark; the words
-kept are at most ``vocabulary``.  The weights are fitted on at most about
-``max_rows`` rows, of which only the kept words leave the executors.  Scoring
-is one scan without a shuffle.
+The model is fitted on a bounded sample of the labelled rows (``max_rows``).
+Spark counts the features over the sample; at most ``vocabulary`` of them
+leave the executors, and of the sampled texts only these.  Scoring is one
+scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faro.llm.common import fresh, hash_sample, sample_rate, spans_of
+from faro.llm.common import fresh, hash_sample, sample_rate, spans_of, stage
 
 # fixed values: identity terms by kind; within a kind each may stand for another
 IDENTITY = (
@@ -111,21 +111,25 @@ def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[tuple[int, int
     return w, b
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", groups=IDENTITY,
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", groups=IDENTITY,
         vocabulary: int = 4096, max_rows: int = 20_000, min_texts: int = 5, min_z: float = 6.0, lasso: float = 1e-4, fairness: float = 1.0) -> Model:
-    """Learn from the rows whose label is 0 or 1 (others, and null texts, are no evidence).
+    """Learn from documents whose label is 0 or 1 (others, and null texts, are no evidence).
 
-    Kept are the features of at least ``min_texts`` texts whose presence goes
-    with the label beyond ``min_z`` standard errors.
+    About ``max_rows`` labels are taken, by the hash of their id; that bounds
+    the broadcast side of the join, so no text is shuffled.  Kept are the
+    features of at least ``min_texts`` texts whose presence goes with the
+    label beyond ``min_z`` standard errors.
     """
-    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"))
-    rows = rows.filter("t is not null and y in (0, 1)").withColumn("ws", presence(F.col("t")))
+    lab = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("y in (0, 1) and id is not null")
+    lab = lab.filter(hash_sample(F.col("id").cast("string"), F.lit(sample_rate(lab.count(), max_rows))))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(lab), "id").filter("t is not null").select("y", "t")
+    rows = stage(rows, "toxic-labelled").withColumn("ws", presence(F.col("t")))
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
     n, p = sizes["n"], sizes["p"]
     if not n or not p or p == n:
         rate = 0.0 if not n else p / n
         return Model({}, float(np.log((rate * n + 0.5) / (n - rate * n + 0.5))) if n else -3.0)
-    # association of a word's presence with the label over all labelled rows: score-test z
+    # association of a feature's presence with the label: score-test z
     stat = rows.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("k"))
     q = p / n
     z = (F.col("k") - F.col("c") * q) / F.sqrt(F.col("c") * q * (1 - q) * F.greatest(1 - F.col("c") / F.lit(float(n)), F.lit(1e-3)))
@@ -133,8 +137,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     terms = sorted({w for g in groups for w in g})
     words = list(dict.fromkeys([r["w"] for r in best] + terms))  # bounded by the vocabulary
     at = {w: k for k, w in enumerate(words)}
-    sample = rows.filter(hash_sample(F.coalesce("id", F.xxhash64("t").cast("string")), F.lit(sample_rate(n, max_rows))))
-    got = sample.select("y", F.array_intersect("ws", F.array(*[F.lit(w) for w in words])).alias("ws")).groupBy("y", F.array_sort("ws").alias("ws")).count().collect()
+    got = rows.select("y", F.array_intersect("ws", F.array(*[F.lit(w) for w in words])).alias("ws")).groupBy("y", F.array_sort("ws").alias("ws")).count().collect()
     swap, feats, y, twins = _swaps(groups), [], [], []
     for r in sorted(got, key=lambda r: (r["y"], r["ws"])):
         f = [at[w] for w in r["ws"]]
