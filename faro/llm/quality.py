@@ -127,9 +127,9 @@ class Features:
 def fit_scorer(features: list, target: np.ndarray, steps: int = 150, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by accelerated gradient descent."""
     n = max(len(features), 1)
-    at = np.repeat(np.arange(len(features)), [len(f[0]) for f in features])
-    col = np.concatenate([f[0] for f in features]) if features else np.empty(0, dtype=np.int64)
-    val = np.concatenate([f[1] for f in features]) if features else np.empty(0)
+    at = np.repeat(np.arange(len(features), dtype=np.int32), [len(f[0]) for f in features])
+    col = np.concatenate([f[0] for f in features]) if features else np.empty(0, dtype=np.int32)
+    val = np.concatenate([f[1] for f in features]) if features else np.empty(0, dtype=np.float32)
     # one value per text has squared length at most 2, so this step is safe
     step, size = 1.0 / (0.25 * 3 + ridge), 1 << BITS
     w, b, w_old, b_old = np.zeros(size), 0.0, np.zeros(size), 0.0
@@ -154,7 +154,7 @@ def label(docs: DataFrame, text_col: str = "text", out: str = "votes") -> DataFr
     return docs.withColumn(out, run(F.col(text_col)))
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 12_000, threshold: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 3_000, threshold: float = 0.5) -> DataFrame:
     """One row per document: (doc_id, score, keep, votes, weak_bad).
 
     ``score`` (0 to 1) is the scorer's probability that the text is of good
@@ -184,10 +184,10 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
         feats = Features()
         for b in batches:
             got = [feats(t) for t in b["text"]]
-            yield pd.DataFrame({"at": [g[0] for g in got], "val": [g[1].astype("float32") for g in got], "bad": [weak.get(tuple(votes(t)), 0.5) for t in b["text"]]})
+            yield pd.DataFrame({"at": [g[0].astype("int32") for g in got], "val": [g[1].astype("float32") for g in got], "bad": [weak.get(tuple(votes(t)), 0.5) for t in b["text"]]})
 
-    got = sample.select("text").mapInPandas(featurise, "at array<long>, val array<float>, bad double").toPandas()  # bounded by max_rows
-    w, b = fit_scorer([(np.asarray(a, dtype=np.int64), np.asarray(v, dtype=np.float64)) for a, v in zip(got["at"], got["val"])], 1 - got["bad"].to_numpy())
+    got = sample.select("text").mapInPandas(featurise, "at array<int>, val array<float>, bad double").toPandas()  # bounded by max_rows
+    w, b = fit_scorer([(np.asarray(a, dtype=np.int32), np.asarray(v, dtype=np.float32)) for a, v in zip(got["at"], got["val"])], 1 - got["bad"].to_numpy())
     shared = spark.sparkContext.broadcast((w.astype(np.float32), b, weak))  # fixed size
 
     @F.pandas_udf("score double, votes array<int>, weak_bad double")
