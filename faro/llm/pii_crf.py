@@ -41,7 +41,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
 NAME = re.compile(r"[A-Za-z0-9._%+-]{5,}")
 LABELS = ("other",) + KINDS
-SAME, LIKE = 6.0, 3.0      # skip potentials of equal nodes and of nodes that end alike
+SAME, LIKE = 8.0, 5.0      # skip potentials of equal nodes and of nodes that end alike
 ROUNDS, DAMPING = 12, 0.5
 NEAR = 40                  # characters between chain neighbours
 TAIL = 7                   # digits that two similar numbers share at the end

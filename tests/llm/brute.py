@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
 
+sys.set_int_max_str_digits(0)
 UP = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = str.maketrans(UP, UP.lower())
 
