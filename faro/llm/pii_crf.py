@@ -42,6 +42,7 @@ NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
 NAME = re.compile(r"[A-Za-z0-9._%+-]{5,}")
 LABELS = ("other",) + KINDS
 SAME, LIKE = 8.0, 5.0      # skip potentials of equal nodes and of nodes that end alike
+SHAPE = 4.0                # most that the shape may speak against a label, less than a link speaks for it
 ROUNDS, DAMPING = 12, 0.5
 NEAR = 40                  # characters between chain neighbours
 TAIL = 7                   # digits that two similar numbers share at the end
@@ -160,7 +161,7 @@ def infer(nodes: list[Node], model: Model) -> np.ndarray:
     """Labels by damped loopy sum-product in the log domain; base spans are clamped."""
     n, k = len(nodes), len(LABELS)
     phi = np.stack([_unary(x.surface, model) for x in nodes])
-    phi = np.clip(phi - phi.max(axis=1, keepdims=True), -30, 0)
+    phi = np.clip(phi - phi.max(axis=1, keepdims=True), -SHAPE, 0)
     for i, x in enumerate(nodes):
         if x.kind:
             phi[i] = -60
