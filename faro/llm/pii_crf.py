@@ -11,8 +11,8 @@ an address's name where it recurs without the domain.
 
 Unary and chain weights are log-odds from counts over a bounded sample
 (``max_rows`` documents) in which the base spans are the labels.  Tagging is
-one scan without a shuffle; a document is never larger than itself (repeats
-are linked in a chain, not pairwise).
+one scan without a shuffle; a document's links grow with its nodes (repeats are
+tied to one occurrence each, not pairwise).
 """
 
 from __future__ import annotations
@@ -173,12 +173,19 @@ def infer(nodes: list[Node], model: Model) -> np.ndarray:
         if 0 <= nodes[i + 1].start - nodes[i].end <= NEAR:
             pairs.append((i, i + 1))
             pots.append(chain)
+    # repeats are tied to the first base span of their key, or where there is none to the occurrence before them
+    seed: dict[str, int] = {}
+    for i, x in enumerate(nodes):
+        if x.kind:
+            seed.setdefault(x.exact, i)
+            seed.setdefault(x.like, i)
     last: dict[str, int] = {}
     for i, x in enumerate(nodes):
-        for key, w in ((x.exact, SAME), (x.like, LIKE)):
-            if key in last and (key == x.exact or nodes[last[key]].exact != x.exact):
-                pairs.append((last[key], i))
-                pots.append(w * np.eye(k))
+        for key, w in dict([(x.like, LIKE), (x.exact, SAME)]).items():
+            j = seed.get(key, last.get(key, i))
+            if j != i:
+                pairs.append((j, i))
+                pots.append(w * np.diag([0.0] + [1.0] * (k - 1)))   # entity labels agree; "other" is not carried on
             last[key] = i
     if not pairs:
         return phi.argmax(axis=1)
@@ -210,6 +217,8 @@ def tag(text: str | None, model: Model) -> tuple[list[tuple[str, int, int]], lis
     if not base:
         return base, base   # the field only carries labels on from base spans
     nodes = nodes_of(text, base)
+    known = {x.like for x in nodes if x.kind}
+    nodes = [x for x in nodes if x.kind or x.like in known]   # a run that resembles no base span has nothing to agree with
     if len(nodes) == len(base):
         return base, base
     extra, end = [], -1
