@@ -41,7 +41,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
 NAME = re.compile(r"[A-Za-z0-9._%+-]{5,}")
 LABELS = ("other",) + KINDS
-SAME, LIKE = 8.0, 5.0      # skip potentials of equal nodes and of nodes that end alike
+SAME, LIKE = 9.0, 6.0      # skip potentials of equal nodes and of nodes that end alike
 SHAPE = 4.0                # most that the shape may speak against a label, less than a link speaks for it
 ROUNDS, DAMPING = 12, 0.5
 NEAR = 40                  # characters between chain neighbours
@@ -272,7 +272,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_row
     chain = np.log(chain / chain.sum(axis=1, keepdims=True)) - np.log(per / per.sum())[None, :]
     bias = np.log(per / per.sum())
     bias[1:] -= 3.0   # shape alone does not make personal data; a skip link does
-    return Model(unary, bias.tolist(), np.clip(chain, -1.5, 1.5).tolist())
+    return Model(unary, bias.tolist(), np.clip(chain, -0.5, 0.5).tolist())
 
 
 def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
