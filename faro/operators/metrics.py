@@ -208,7 +208,7 @@ def threshold_sweep(df: DataFrame, truth: str, score: str, event, thresholds: Se
 def uncertain(df: DataFrame, prob: str, margin: float = 0.1) -> DataFrame:
     """Rows whose probability is within ``margin`` of 0.5, most uncertain first."""
     d = F.abs(col(prob).cast("double") - 0.5)
-    return df.filter(d < margin).withColumn("distance", d)
+    return df.filter(d < margin).withColumn("distance", d).orderBy("distance")
 
 
 def metric_set(parts: dict[str, DataFrame]) -> DataFrame:

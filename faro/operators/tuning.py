@@ -55,13 +55,24 @@ def collect_metrics(fold_scores: DataFrame, config: Sequence[str], metric: str =
         (F.stddev_samp(estimate) / F.sqrt(F.count(estimate))).alias("std_err"))
 
 
-_HIGHER_BETTER = {"accuracy", "roc_auc", "rsq", "rsq_trad", "f_meas", "precision", "recall", "kap", "sens", "spec"}
+_HIGHER_BETTER = {"accuracy", "roc_auc", "rsq", "rsq_trad", "f_meas", "precision", "recall", "kap", "sens", "spec",
+                  "ppv", "npv", "mcc", "j_index", "bal_accuracy"}
+_LOWER_BETTER = {"rmse", "mae", "mape", "mse", "mn_log_loss", "brier"}
+
+
+def higher_is_better(metric: str) -> bool:
+    """Direction of a metric; an unknown one is an error, not a guess."""
+    if metric in _HIGHER_BETTER:
+        return True
+    if metric in _LOWER_BETTER:
+        return False
+    raise ValueError(f"unknown direction of metric {metric!r}")
 
 
 def show_best(summary: DataFrame, metric: str, n: int = 5, config: Sequence[str] = ()) -> DataFrame:
     """Top-n configurations for one metric (direction by metric name; ties by config)."""
     s = summary.filter(F.col("metric") == metric)
-    o = F.desc("mean") if metric in _HIGHER_BETTER else F.asc("mean")
+    o = F.desc("mean") if higher_is_better(metric) else F.asc("mean")
     return s.orderBy(o, *config).limit(n)
 
 
@@ -71,7 +82,7 @@ def select_by_one_std_err(summary: DataFrame, metric: str, simplicity: Sequence,
     ``simplicity``: order columns, simplest first (e.g. ``F.desc("penalty")``).
     """
     s = summary.filter(F.col("metric") == metric)
-    hi = metric in _HIGHER_BETTER
+    hi = higher_is_better(metric)
     best = s.orderBy(F.desc("mean") if hi else F.asc("mean"), *config).limit(1) \
             .select((F.col("mean") - F.col("std_err")).alias("_lo") if hi else (F.col("mean") + F.col("std_err")).alias("_hi"))
     j = s.crossJoin(F.broadcast(best))

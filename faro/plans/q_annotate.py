@@ -254,9 +254,8 @@ def n15_chunk_text(spark, d):
     return TX.chunk_tokens(tok, "doc_id", size=200, overlap=50)
 
 
-# query parameter: USD per million tokens (the reference's price table, model names generalised)
-PRICES = [("closed_large", 5.0), ("closed_small", 0.15), ("closed_premium", 15.0), ("closed_mid", 3.0),
-          ("closed_long_context", 3.5), ("open_large", 0.0), ("open_mid", 0.0)]
+# query parameter: an invented price table, USD per million tokens
+PRICES = [("tier_a", 1.0), ("tier_b", 0.25), ("self_hosted", 0.0)]
 _prices = ", ".join(f"('{m}', {p})" for m, p in PRICES)
 
 

@@ -9,6 +9,7 @@ re-emitting committed batches.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
     """Apply ``score`` (e.g. ``lambda df: fitted.predict(prepped.bake(df))``) to every micro-batch and
     append the results to ``sink_path``; checkpoint under ``spark.checkpoint.dir`` unless given."""
     spark = stream.sparkSession
-    ck = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/score_stream/{abs(hash(sink_path))}"
+    ck = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/score_stream/{hashlib.md5(sink_path.encode()).hexdigest()}"
     scored = score(stream)
     w = scored.writeStream.format(fmt).option("path", sink_path).option("checkpointLocation", ck).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
