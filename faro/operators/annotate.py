@@ -10,6 +10,7 @@ missing.  The default annotator is an offline keyword classifier.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faro.functions.core import col, safe_div, stable_hash
+from faro.operators.ranking import materialize
 
 # ------------------------------------------------------------------ prompts
 
@@ -70,7 +72,10 @@ def annotate(df: DataFrame, prompt: str, annotator: Callable[[pd.Series], pd.Ser
     """Annotate each distinct prompt once; returns (rows with ``response``, new cache rows).
 
     ``cache``: (prompt_hash, response) from earlier runs; only prompts
-    missing from it are sent to the annotator (left anti join).
+    missing from it are sent to the annotator (left anti join).  The new
+    responses are written to the checkpoint folder before anything reads
+    them: both results hold the same answers, and no later action or lost
+    executor calls the annotator again.
     """
     keyed = df.withColumn("prompt_hash", F.sha2(col(prompt), 256))
     todo = keyed.select("prompt_hash", prompt).dropDuplicates(["prompt_hash"])
@@ -81,7 +86,7 @@ def annotate(df: DataFrame, prompt: str, annotator: Callable[[pd.Series], pd.Ser
         for b in batches:
             yield pd.DataFrame({"prompt_hash": b["prompt_hash"], out: annotator(b[prompt]).astype(object)})
 
-    fresh = todo.mapInPandas(run, f"prompt_hash string, {out} string")
+    fresh = materialize(todo.mapInPandas(run, f"prompt_hash string, {out} string"))
     allc = fresh if cache is None else cache.select("prompt_hash", F.col("response").alias(out)).unionByName(fresh)
     return keyed.join(allc, "prompt_hash", "left"), fresh.withColumnRenamed(out, "response")
 
@@ -122,16 +127,17 @@ def explode_entities(df: DataFrame, c: str, out: str = "entity") -> DataFrame:
 def evaluate_annotations(df: DataFrame, truth: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy and macro precision / recall / F1 over classes (per group).
 
-    Per-class counts come from one aggregation over (group, truth, label);
-    classes absent from both truth and labels do not enter the macro mean.
+    Per-class counts come from one aggregation over (group, truth, label):
+    a cell counts once for its true class and once for its labelled class.
+    Classes absent from both truth and labels do not enter the macro mean.
     """
     c = df.groupBy(*by, col(truth).cast("string").alias("_t"), col(label).cast("string").alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
-    classes = c.select(*by, F.col("_t").alias("cls")).union(c.select(*by, F.col("_l").alias("cls"))).distinct().filter(F.col("cls").isNotNull())
-    j = classes.join(c, list(by)) if by else classes.crossJoin(c)
-    per = j.groupBy(*by, "cls").agg(
-        F.sum(F.when((F.col("_t") == F.col("cls")) & (F.col("_l") == F.col("cls")), F.col("_n")).otherwise(0)).alias("tp"),
-        F.sum(F.when((F.col("_t") != F.col("cls")) & (F.col("_l") == F.col("cls")), F.col("_n")).otherwise(0)).alias("fp"),
-        F.sum(F.when((F.col("_t") == F.col("cls")) & ((F.col("_l") != F.col("cls")) | F.col("_l").isNull()), F.col("_n")).otherwise(0)).alias("fn"))
+    n, none, hit = F.col("_n"), F.lit(0).cast("long"), F.col("_t") == F.col("_l")
+    sides = F.array(
+        F.struct(F.col("_t").alias("cls"), F.when(hit, n).otherwise(none).alias("tp"), none.alias("fp"), F.when(hit, none).otherwise(n).alias("fn")),
+        F.struct(F.col("_l").alias("cls"), none.alias("tp"), F.when(~hit, n).otherwise(none).alias("fp"), none.alias("fn")))
+    per = c.select(*by, F.explode(sides).alias("_s")).select(*by, "_s.*").filter(F.col("cls").isNotNull())
+    per = per.groupBy(*by, "cls").agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn")])
     pr = safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
     rc = safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
     per = per.withColumn("precision", pr).withColumn("recall", rc) \
@@ -174,14 +180,15 @@ def majority_vote(df: DataFrame, item: str, annotators: Sequence[str], out: str
     return df.withColumn(out, winner)
 
 
-def method_comparison(results: Mapping[str, DataFrame], truth: str, label: str, seconds: Mapping[str, float],
-                      cost_per_item: Mapping[str, float]) -> DataFrame:
-    """Accuracy, elapsed time and cost per method (one row per method)."""
+def method_comparison(results: Mapping[str, DataFrame], truth: str, label: str, cost_per_item: Mapping[str, float],
+                      seconds: Mapping[str, float] | None = None) -> DataFrame:
+    """Accuracy and cost per method (one row per method), and the elapsed time where it was measured (see ``timed``)."""
     parts = []
     for m, d in results.items():
         a = d.agg(F.avg((col(truth).cast("string") == col(label).cast("string")).cast("double")).alias("accuracy"),
                   F.count(F.lit(1)).alias("n"))
-        parts.append(a.select(F.lit(m).alias("method"), "accuracy", "n", F.lit(float(seconds.get(m, 0.0))).alias("seconds"),
+        took = [] if seconds is None else [F.lit(seconds.get(m)).cast("double").alias("seconds")]
+        parts.append(a.select(F.lit(m).alias("method"), "accuracy", "n", *took,
                               (F.col("n") * float(cost_per_item.get(m, 0.0))).alias("cost")))
     out = parts[0]
     for p in parts[1:]:
@@ -189,6 +196,12 @@ def method_comparison(results: Mapping[str, DataFrame], truth: str, label: str,
     return out
 
 
+def timed(build: Callable[[], DataFrame]) -> tuple[DataFrame, float]:
+    """A method's result, computed once into the checkpoint folder, and the seconds that took."""
+    start = time.perf_counter()
+    return materialize(build()), time.perf_counter() - start
+
+
 def validation_sample(df: DataFrame, key: str, by: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """n rows per stratum for human review, drawn by hash order (reproducible)."""
     w = Window.partitionBy(*by).orderBy(stable_hash(seed, key), F.col(key))

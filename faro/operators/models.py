@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,15 +159,13 @@ def tidy(fitted: Fitted) -> DataFrame:
     names = ["(Intercept)"] + fitted.features
     est = [float(m.intercept)] + [float(x) for x in m.coefficients]
     se = st = pv = [None] * len(est)
-    try:
-        s = m.summary
-        se_l = list(s.coefficientStandardErrors)
-        st_l = list(s.tValues)
-        pv_l = list(s.pValues)
-        # MLlib puts the intercept last
-        se, st, pv = [se_l[-1]] + se_l[:-1], [st_l[-1]] + st_l[:-1], [pv_l[-1]] + pv_l[:-1]
-    except Exception:  # penalised fits report no inference
-        pass
+    if fitted.spec.kind == "linear_reg" and fitted.spec.penalty == 0:
+        try:
+            s = m.summary
+            # MLlib puts the intercept last
+            se, st, pv = ([v[-1], *v[:-1]] for v in (list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)))
+        except UnsupportedOperationException:  # collinear features: MLlib solved iteratively, without standard errors
+            pass
     rows = [(n, e, s_, t_, p_) for n, e, s_, t_, p_ in zip(names, est, se, st, pv)]
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
 
@@ -241,10 +240,29 @@ def ols_from_gram(row, features: Sequence[str], ridge: float = 0.0) -> dict:
     return out
 
 
+def _incomplete_beta(a: float, b: float, x: float, y: float) -> float:
+    """Regularised I_x(a, b) with y = 1 - x: its continued fraction, evaluated from the inside out."""
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _incomplete_beta(b, a, y, x)
+    if x <= 0:
+        return 0.0
+    f = 1.0
+    for k in range(200 + 4 * math.isqrt(int(max(a, b))), 0, -1):
+        m = k // 2
+        num = -(a + m) * (a + b + m) if k % 2 else m * (b - m)
+        f = 1.0 + num * x / ((a + k - 1) * (a + k)) / f
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(y)
+    return math.exp(scale) / (a * f)
+
+
+def t_two_sided(t: float, dof: int) -> float:
+    """P(|T| >= |t|) under Student's t with ``dof`` degrees of freedom."""
+    total = dof + t * t
+    return _incomplete_beta(dof / 2, 0.5, dof / total, t * t / total)
+
+
 def ols(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
     """OLS with inference (term, estimate, std_error, statistic, p_value) from X'X, X'y."""
-    from math import erf, sqrt
-
     row = gram(df, features, y).first()
     r = ols_from_gram(row, features)
     names = ["(Intercept)"] + list(features)
@@ -252,8 +270,7 @@ def ols(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
     for i, nme in enumerate(names):
         se = float(r["se"][i]) if "se" in r else None
         t = float(r["beta"][i] / se) if se else None
-        # normal approximation for the two-sided p-value (df = n - p is large in practice)
-        p = 2 * (1 - 0.5 * (1 + erf(abs(t) / sqrt(2)))) if t is not None else None
+        p = t_two_sided(t, r["n"] - len(names)) if t is not None else None
         rows.append((nme, float(r["beta"][i]), se, t, p))
     return _spark().createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
 
@@ -327,30 +344,47 @@ def ridge_cv_from_gram(gram_rows: list, features: Sequence[str], lambdas: Sequen
 # ------------------------------------------------------------------ k-NN for a bounded query set
 
 
-MAX_BROADCAST_QUERIES = 100_000
+MAX_BROADCAST_QUERIES = 100_000  # rows of one broadcast block of queries
 
 
-def knn_predict(queries: DataFrame, train: DataFrame, qid: str, vec: str, label: str, k: int) -> DataFrame:
-    """Exact k-nearest-neighbour vote (Euclidean) for a bounded query set.
+def nearest(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
+    """The k nearest rows of ``train`` (_n key, _nv vector, _t value) for every query (_q key, _qv vector).
 
-    Queries are broadcast after a size check; the training table is scanned
-    once and only k candidates per query survive each partition (window
-    group limit).  Ties in the vote go to the smallest label.
+    The query set is broadcast in blocks of about ``MAX_BROADCAST_QUERIES``;
+    each block scans the training table once and keeps k candidates per query
+    and partition (window group limit).  Euclidean distance, ties by ``_n``.
     """
-    nq = queries.count()
-    if nq > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"{nq} queries exceed the broadcast bound {MAX_BROADCAST_QUERIES}; score in batches")
     from faro.operators.cluster import distance
 
+    blocks = max(1, math.ceil(queries.count() / MAX_BROADCAST_QUERIES))
+    out = None
+    for b in range(blocks):
+        q = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == b)
+        d = train.crossJoin(F.broadcast(q)).withColumn("_d", distance("_nv", "_qv"))
+        w = Window.partitionBy("_q").orderBy("_d", "_n")
+        nn = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("_q", "_n", "_t", "_d", "_r")
+        out = nn if out is None else out.unionByName(nn)
+    return out
+
+
+def knn_predict(queries: DataFrame, train: DataFrame, qid: str, vec: str, label: str, k: int, key: str,
+                mode: str = "classification") -> DataFrame:
+    """Exact k nearest neighbours (Euclidean; ties by the training ``key``) of a stated query set.
+
+    classification: ``pred_label`` (any orderable type; ties in the vote go
+    to the smallest label), its ``votes`` and ``prob`` = votes / neighbours.
+    regression: ``pred``, the neighbours' mean.  Training rows without a
+    label are no neighbours.
+    """
     q = queries.select(F.col(qid).alias("_q"), F.col(vec).alias("_qv"))
-    j = train.select(F.col(label).alias("_lab"), F.col(vec).alias("_tv"), *[c for c in train.columns if c in ("vec_id",)])
-    d = j.crossJoin(F.broadcast(q)).withColumn("_d", distance("_tv", "_qv"))
-    tie = [F.col("vec_id")] if "vec_id" in train.columns else []
-    w = Window.partitionBy("_q").orderBy("_d", *tie)
-    nn = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    votes = nn.groupBy("_q", "_lab").agg(F.count(F.lit(1)).alias("_v"))
-    best = votes.groupBy("_q").agg(F.max(F.struct("_v", (-F.col("_lab")).alias("_neg"))).alias("_b"))
-    return best.select(F.col("_q").alias(qid), (-F.col("_b._neg")).alias("pred_label"), F.col("_b._v").alias("votes"))
+    t = train.filter(F.col(label).isNotNull()).select(F.col(key).alias("_n"), F.col(vec).alias("_nv"), F.col(label).alias("_t"))
+    nn = nearest(q, t, k)
+    if mode == "regression":
+        return nn.groupBy(F.col("_q").alias(qid)).agg(F.avg(F.col("_t").cast("double")).alias("pred"))
+    votes = nn.groupBy("_q", "_t").agg(F.count(F.lit(1)).alias("_v"))
+    best = votes.groupBy("_q").agg(F.min(F.struct((-F.col("_v")).alias("neg"), "_t")).alias("_b"), F.sum("_v").alias("_k"))
+    return best.select(F.col("_q").alias(qid), F.col("_b._t").alias("pred_label"), (-F.col("_b.neg")).alias("votes"),
+                       (-F.col("_b.neg") / F.col("_k")).alias("prob"))
 
 
 # ------------------------------------------------------------------ Gini split search
@@ -391,19 +425,11 @@ def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
 
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """Fill NULL ``target`` values with the mean of the k nearest complete rows (Euclidean on
-    ``features``; ties by key).  Rows to fill are the broadcast query set (size-checked)."""
-    from faro.operators.cluster import distance
-
+    ``features``; ties by key).  Rows to fill are the query set, broadcast in blocks."""
     vec = F.array(*[F.col(c).cast("double") for c in features])
     miss = df.filter(F.col(target).isNull()).select(F.col(key).alias("_q"), vec.alias("_qv"))
-    nq = miss.count()
-    if nq > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"{nq} rows to impute exceed the broadcast bound {MAX_BROADCAST_QUERIES}; impute in batches")
     done = df.filter(F.col(target).isNotNull()).select(F.col(key).alias("_n"), vec.alias("_nv"), F.col(target).cast("double").alias("_t"))
-    d = done.crossJoin(F.broadcast(miss)).withColumn("_d", distance("_nv", "_qv"))
-    w = Window.partitionBy("_q").orderBy("_d", "_n")
-    nn = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    fill = nn.groupBy("_q").agg(F.avg("_t").alias("_fill"))
+    fill = nearest(miss, done, k).groupBy("_q").agg(F.avg("_t").alias("_fill"))
     out = df.join(fill, df[key] == fill["_q"], "left")
     return out.withColumn(target, F.coalesce(F.col(target).cast("double"), F.col("_fill"))).drop("_q", "_fill")
 

@@ -219,6 +219,23 @@ def vector_sum(a: str, b: str, c: str):
                       lambda x, y: x + y.cast("double"))
 
 
+def chunk_text(df: DataFrame, doc: str, text: str, size: int, overlap: int = 0) -> DataFrame:
+    """The token windows of ``chunk_tokens`` with their text: (doc, chunk, first_pos, n_tokens, chunk_text).
+
+    Windows are cut from the row's token array, so nothing is shuffled;
+    documents without tokens have no window.
+    """
+    step = size - overlap
+    if step <= 0:
+        raise ValueError("overlap must be smaller than size")
+    tok, n = F.col("_tok"), F.size("_tok")
+    starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / step).cast("int")))
+    windows = F.transform(starts, lambda c: F.struct(
+        c.alias("chunk"), (c * step + 1).alias("first_pos"), F.least(F.lit(size), n - c * step).cast("bigint").alias("n_tokens"),
+        F.array_join(F.slice(tok, c * step + 1, F.lit(size)), " ").alias("chunk_text")))
+    return df.select(doc, tokens(text).alias("_tok")).select(doc, F.inline(windows))
+
+
 def chunk_tokens(tok: DataFrame, doc: str, size: int, overlap: int = 0) -> DataFrame:
     """Windows of ``size`` tokens advancing by size - overlap: (doc, chunk, first_pos, n_tokens).
 

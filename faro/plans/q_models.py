@@ -88,12 +88,12 @@ c AS (SELECT label AS q, list(m ORDER BY i) AS cv FROM (SELECT label, i, avg(x)
 d AS (SELECT c.q, e.label AS lab, e.vec_id, sqrt(list_sum(list_transform(range(1, 65), lambda i: (e.v[i] - c.cv[i]) * (e.v[i] - c.cv[i])))) AS d FROM c, e),
 nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, vec_id) AS r FROM d) WHERE r <= 7),
 v AS (SELECT q, lab, count(*) AS votes FROM nn GROUP BY ALL)
-SELECT q AS label, m.l AS pred_label, m.v AS votes FROM (SELECT q, max({'v': votes, 'l': -lab}) AS mm FROM v GROUP BY q),
-LATERAL (SELECT -mm.l AS l, mm.v AS v) m""")
+SELECT q AS label, m.l AS pred_label, m.v AS votes, m.v / CAST(7 AS DOUBLE) AS prob FROM (SELECT q, max({'v': votes, 'l': -lab}) AS mm FROM v GROUP BY q),
+LATERAL (SELECT -mm.l AS l, mm.v AS v) m""", dbl=["prob"])
 def k05_knn_centroids(spark, d):
     emb = Tables(spark, d).embeddings.withColumn("embedding", F.col("embedding").cast("array<double>"))
     q = centroids(emb, "label", "embedding").select("label", F.col("centroid").alias("embedding"))
-    return K.knn_predict(q, emb.select("vec_id", "label", "embedding"), "label", "embedding", "label", 7)
+    return K.knn_predict(q, emb.select("vec_id", "label", "embedding"), "label", "embedding", "label", 7, key="vec_id")
 
 
 # fold scores of a rule classifier (price above a cutoff => 'si'), used by the selection oracles

@@ -33,24 +33,22 @@ def q02_summary_stats(spark, d):
     return Q.summary_stats(Tables(spark, d).lineitem, NUM)
 
 
-CUST_ORDERS_SQL = """SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey, o.o_totalprice, o.o_orderstatus
-FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey"""
+# only some documents are labelled, so quality and toxic are NULL for the others
+LABELLED_SQL = """SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
-def cust_orders(t):
-    c = t.customer.select("c_custkey", "c_mktsegment")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    return c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey")
+def labelled(t):
+    return t.documents.select("doc_id", "lang", "n_chars").join(t.labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
 
 
-_nc_cols = ["c_custkey", "c_mktsegment", "o_orderkey", "o_totalprice", "o_orderstatus"]
-_nc = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM co" for c in _nc_cols)
+_nc_cols = ["doc_id", "lang", "n_chars", "quality", "toxic"]
+_nc = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM dl" for c in _nc_cols)
 
 
-@query("q03_null_counts", f"""WITH co AS ({CUST_ORDERS_SQL}), l AS ({_nc})
+@query("q03_null_counts", f"""WITH dl AS ({LABELLED_SQL}), l AS ({_nc})
 SELECT * FROM l UNION ALL SELECT '__total__', CAST(sum(n_null) AS BIGINT) FROM l""")
 def q03_null_counts(spark, d):
-    return Q.null_counts(cust_orders(Tables(spark, d)))
+    return Q.null_counts(labelled(Tables(spark, d)))
 
 
 @query("q04_freq", """SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL""")
@@ -134,11 +132,11 @@ def q10_outliers_z(spark, d):
     return z.groupBy("l_returnflag").agg(F.count_if("is_outlier").alias("n_outliers"), F.count(F.lit(1)).alias("n"))
 
 
-@query("q11_missingness_by", f"""WITH co AS ({CUST_ORDERS_SQL})
-SELECT c_mktsegment, count(*) AS n, CAST(count_if(o_totalprice IS NULL) AS BIGINT) AS n_missing,
-avg(CAST(o_totalprice IS NULL AS DOUBLE)) AS missing_rate FROM co GROUP BY 1""", dbl=["missing_rate"])
+@query("q11_missingness_by", f"""WITH dl AS ({LABELLED_SQL})
+SELECT lang, count(*) AS n, CAST(count_if(quality IS NULL) AS BIGINT) AS n_missing,
+avg(CAST(quality IS NULL AS DOUBLE)) AS missing_rate FROM dl GROUP BY 1""", dbl=["missing_rate"])
 def q11_missingness_by(spark, d):
-    return Q.missingness_by(cust_orders(Tables(spark, d)), "o_totalprice", ["c_mktsegment"])
+    return Q.missingness_by(labelled(Tables(spark, d)), "quality", ["lang"])
 
 
 @query("q12_class_balance", f"""WITH s AS ({SURVEY_SQL}), c AS (SELECT y, count(*) AS n FROM s GROUP BY 1)

@@ -74,8 +74,9 @@ def f06_step_novel(spark, d):
     return rec.prep(train.filter(F.col("segment") != "MACHINERY")).bake(test)
 
 
-CO_SPLIT_SQL = """WITH co AS (SELECT c.c_custkey AS id, c.c_mktsegment AS segment, o.o_totalprice AS price
-  FROM customer c LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS o_totalprice FROM orders GROUP BY 1) o ON c.c_custkey = o.o_custkey),
+# only some documents are labelled, so the joined column is NULL for the others
+CO_SPLIT_SQL = """WITH co AS (SELECT d.doc_id AS id, CASE WHEN l.doc_id IS NOT NULL THEN CAST(d.n_chars AS DOUBLE) END AS price
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(id AS VARCHAR))), id) AS rk, count(*) OVER () AS n FROM co),
 train AS (SELECT * FROM r WHERE rk <= floor(n * 0.75)), test AS (SELECT * FROM r WHERE rk > floor(n * 0.75))
 """
@@ -83,9 +84,9 @@ train AS (SELECT * FROM r WHERE rk <= floor(n * 0.75)), test AS (SELECT * FROM r
 
 def _co_split(spark, d):
     t = Tables(spark, d)
-    o = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("price"))
-    co = (t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
-          .join(o, F.col("id") == F.col("o_custkey"), "left").drop("o_custkey"))
+    lab = t.labels.select(F.col("doc_id").alias("id"), F.lit(True).alias("labelled"))
+    co = (t.documents.select(F.col("doc_id").alias("id"), "n_chars").join(lab, "id", "left")
+          .select("id", F.when(F.col("labelled"), F.col("n_chars").cast("double")).alias("price")))
     sp = R.initial_split(co, "id", 0.75, seed=42)
     return R.training(sp).drop("split"), R.testing(sp).drop("split")
 
@@ -170,17 +171,15 @@ def f14_step_poly(spark, d):
     return Recipe("y", ids=["id"], predictors=["price"]).step_poly(["price"], degree=3).prep(train).juice()
 
 
-@query("f08_impute_knn", """WITH co AS (SELECT c.c_custkey AS id, c.c_acctbal / 1000 AS bal, o.price FROM customer c
-  LEFT JOIN (SELECT o_custkey, max(o_totalprice) / 1000 AS price FROM orders GROUP BY 1) o ON c.c_custkey = o.o_custkey),
-q AS (SELECT id, bal FROM co WHERE price IS NULL), done AS (SELECT id, bal, price FROM co WHERE price IS NOT NULL),
-d AS (SELECT q.id AS qid, done.price, row_number() OVER (PARTITION BY q.id ORDER BY abs(done.bal - q.bal), done.id) AS r FROM q, done),
-f AS (SELECT qid, avg(price) AS fill FROM d WHERE r <= 5 GROUP BY 1)
-SELECT id, COALESCE(price, fill) AS price FROM co LEFT JOIN f ON co.id = f.qid""", dbl=["price"])
+@query("f08_impute_knn", """WITH co AS (SELECT d.doc_id AS id, d.n_chars, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+q AS (SELECT id, n_chars FROM co WHERE quality IS NULL), done AS (SELECT id, n_chars, quality FROM co WHERE quality IS NOT NULL),
+d AS (SELECT q.id AS qid, done.quality, row_number() OVER (PARTITION BY q.id ORDER BY abs(done.n_chars - q.n_chars), done.id) AS r FROM q, done),
+f AS (SELECT qid, avg(quality) AS fill FROM d WHERE r <= 5 GROUP BY 1)
+SELECT id, COALESCE(CAST(quality AS DOUBLE), fill) AS quality FROM co LEFT JOIN f ON co.id = f.qid""", dbl=["quality"])
 def f08_impute_knn(spark, d):
     from faro.operators.models import knn_impute
 
     t = Tables(spark, d)
-    o = t.orders.groupBy("o_custkey").agg((F.max("o_totalprice") / 1000).alias("price"))
-    co = (t.customer.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 1000).alias("bal"))
-          .join(o, F.col("id") == F.col("o_custkey"), "left").drop("o_custkey"))
-    return knn_impute(co, "id", "price", ["bal"], k=5).select("id", "price")
+    lab = t.labels.select(F.col("doc_id").alias("id"), "quality")
+    co = t.documents.select(F.col("doc_id").alias("id"), "n_chars").join(lab, "id", "left")
+    return knn_impute(co, "id", "quality", ["n_chars"], k=5).select("id", "quality")

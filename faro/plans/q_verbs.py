@@ -134,11 +134,11 @@ def j01_left_join(spark, d):
     return j.groupBy("n_name").agg(F.count("c_custkey").alias("n_customers"))
 
 
-@query("j02_anti_join", """SELECT count(*) AS n_without_orders FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+@query("j02_anti_join", """SELECT lang, count(*) AS n_unlabelled FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1""")
 def j02_anti_join(spark, d):
     t = Tables(spark, d)
-    o = t.orders.select(F.col("o_custkey").alias("c_custkey"))
-    return V.anti_join(t.customer, o, ["c_custkey"]).agg(F.count(F.lit(1)).alias("n_without_orders"))
+    unlabelled = V.anti_join(t.documents.select("doc_id", "lang"), t.labels.select("doc_id"), ["doc_id"])
+    return unlabelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n_unlabelled"))
 
 
 @query("j03_semi_join", """SELECT p_partkey, p_brand FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)""")

@@ -110,6 +110,73 @@ def test_planted_linear_recovery(spark):
     assert abs(list(lasso.model.coefficients)[2]) < 1e-6
 
 
+def test_ols_p_values_follow_student_t(spark):
+    # exact laws: t(1) is Cauchy, t(2) has P(|T| >= t) = 1 - t / sqrt(2 + t^2); large dof approach the normal
+    for t in (0.0, 0.3, 1.0, 5.2, 40.0):
+        assert K.t_two_sided(t, 1) == pytest.approx(1 - 2 / math.pi * math.atan(t), abs=1e-12)
+        assert K.t_two_sided(-t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), abs=1e-12)
+    assert K.t_two_sided(1.96, 10 ** 9) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-4)
+    df = spark.createDataFrame([(1.0, 1.1), (2.0, 1.9), (3.0, 3.2), (4.0, 3.9), (5.0, 4.2)], "x double, y double")
+    mine = {r.term: r for r in K.ols(df, "y", ["x"]).collect()}
+    for r in K.tidy(K.fit(K.linear_reg(), df, "y", ["x"])).collect():  # MLlib's own inference
+        assert mine[r.term].p_value == pytest.approx(r.p_value, rel=1e-6)
+    assert K.tidy(K.fit(K.linear_reg(0.1), df, "y", ["x"])).first().p_value is None
+
+
+def test_knn_labels_of_any_type_means_and_blocks(spark, monkeypatch):
+    rows = [(1, [0.0], "no", 1.0), (2, [1.0], "si", 3.0), (3, [1.0], "no", 5.0), (4, [9.0], "si", 7.0), (5, [0.1], None, None)]
+    train = spark.createDataFrame(rows, "id int, v array<double>, lab string, num double")
+    q = spark.createDataFrame([(10, [0.2]), (11, [8.0]), (12, [1.0])], "q int, v array<double>")
+    got = {r.q: r for r in K.knn_predict(q, train, "q", "v", "lab", 2, key="id").collect()}
+    assert (got[10].pred_label, got[10].votes, got[10].prob) == ("no", 1, 0.5)  # 1 'no' : 1 'si', smallest label
+    assert got[12].pred_label == "no" and got[11].pred_label == "si"  # distance ties go to the smallest key
+    mean = {r.q: r.pred for r in K.knn_predict(q, train, "q", "v", "num", 2, key="id", mode="regression").collect()}
+    assert mean == {10: 2.0, 11: 5.0, 12: 4.0}
+    monkeypatch.setattr(K, "MAX_BROADCAST_QUERIES", 1)  # one block a query or so: same answers
+    assert {r.q: r for r in K.knn_predict(q, train, "q", "v", "lab", 2, key="id").collect()} == got
+
+
+def test_annotator_runs_once_per_distinct_prompt(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def annotator(prompts):
+        with open(log, "a") as f:
+            f.writelines(f"{p}\n" for p in prompts)
+        return prompts.str.upper()
+
+    df = spark.createDataFrame([(i, f"p{i % 5}") for i in range(20)], "id int, prompt string")
+    rows, fresh = N.annotate(df, "prompt", annotator)
+    assert {r.response for r in rows.collect()} == {f"P{i}" for i in range(5)}
+    assert fresh.count() == 5
+    again, none = N.annotate(df, "prompt", annotator, cache=fresh)
+    assert again.filter("response is null").count() == 0 and none.count() == 0
+    assert sorted(open(log).read().split()) == [f"p{i}" for i in range(5)]
+
+
+def test_annotation_scores_with_missing_labels(spark):
+    rows = [("a", "a"), ("a", "b"), ("b", "b"), ("b", None), (None, "c")]
+    r = N.evaluate_annotations(spark.createDataFrame(rows, "t string, l string"), "t", "l").first()
+    # a: tp 1 fp 0 fn 1; b: tp 1 fp 1 fn 1; c is labelled only where the truth is missing
+    assert r.macro_precision == pytest.approx(0.75) and r.macro_recall == pytest.approx(0.5)
+
+
+def test_text_windows(spark):
+    df = spark.createDataFrame([(1, "a b c d e"), (2, ""), (3, None)], "doc_id int, text string")
+    got = [tuple(r) for r in TX.chunk_text(df, "doc_id", "text", 3, 1).orderBy("chunk").collect()]
+    assert got == [(1, 0, 1, 3, "a b c"), (1, 1, 3, 3, "c d e"), (1, 2, 5, 1, "e")]
+
+
+def test_missing_data_queries_meet_missing_data(spark):
+    from faro.plans.registry import all_queries
+    from tests.conftest import SMOKE
+
+    qs = all_queries()
+    assert {r.column_name: r.n_null for r in qs["q03_null_counts"].spark(spark, SMOKE).collect()}["quality"] > 0
+    assert qs["q11_missingness_by"].spark(spark, SMOKE).filter("n_missing > 0").count() > 0
+    assert qs["j02_anti_join"].spark(spark, SMOKE).filter("n_unlabelled > 0").count() > 0
+    assert qs["f09_missing_indicator"].spark(spark, SMOKE).filter("na_ind_price = 1").count() > 0
+
+
 def test_fold_scores_selection(spark):
     rows = [(p, f, "rmse", est) for p, ests in [(0.001, [1.0, 1.2, 1.1]), (0.01, [1.05, 1.15, 1.1]), (0.1, [1.3, 1.4, 1.35])]
             for f, est in enumerate(ests, start=1)]
