@@ -10,6 +10,8 @@ from faro.operators import models as K
 from faro.operators import resample as R
 from faro.operators import tuning as V
 from faro.operators.cluster import centroids
+from faro.operators.recipe import Recipe
+from faro.operators.workflow import Workflow, batch_models, last_fit
 from faro.plans.inputs import ITEMS_SQL, SURVEY_SQL, items, survey
 from faro.plans.registry import query
 from faro.sources.tables import Tables
@@ -203,23 +205,27 @@ def k10_predict_probabilities(spark, d):
 
 @query("k11_workflow_metrics")
 def k11_workflow_metrics(spark, d):
-    """K11 + K16: recipe + several model specs fitted on the same cached train; one metric table."""
-    from faro.operators.recipe import Recipe
-
+    """K11 + K16: one recipe, several model specs; one metric table."""
     train, test = _split(spark, d)
     rec = Recipe("y", ids=["id"], predictors=["price_k", "balance_k", "month", "segment"]).step_dummy().step_normalize()
-    pr = rec.prep(train)
-    tr, te = pr.bake(train).cache(), pr.bake(test)
-    feats = [c for c in tr.columns if c not in ("id", "y")]
     specs = {"logistic": K.logistic_reg(), "tree": K.decision_tree(tree_depth=4),
              "forest": K.rand_forest(trees=30), "boost": K.boost_tree(trees=20)}
-    parts = {}
-    for name, spec in specs.items():
-        p = K.fit(spec, tr, "y", feats, LEVELS).predict(te)
-        acc = M.accuracy(p, "y", "pred_class").select("accuracy")
-        auc = M.roc_auc(p, "y", "pred_si", "si")
-        parts[name] = M.to_long(acc.crossJoin(auc), ["accuracy", "roc_auc"])
-    return M.metric_set(parts)
+    return batch_models(rec, specs, train, test, LEVELS)
+
+
+@query("k11_last_fit_linear", f"""WITH it AS ({ITEMS_SQL}),
+r AS (SELECT *, l_extendedprice / 1000 AS y, row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(id AS VARCHAR))), id) AS rk, count(*) OVER () AS n FROM it),
+tr AS (SELECT * FROM r WHERE rk <= floor(n * 0.75)), te AS (SELECT * FROM r WHERE rk > floor(n * 0.75)),
+b AS (SELECT regr_slope(y, l_quantity) AS b, regr_intercept(y, l_quantity) AS a FROM tr),
+p AS (SELECT y, a + b * l_quantity AS yh FROM te, b),
+m AS (SELECT sqrt(avg((y - yh) * (y - yh))) AS rmse, avg(abs(y - yh)) AS mae, avg((y - yh) * (y - yh)) AS mse, pow(corr(y, yh), 2) AS rsq,
+      1 - sum((y - yh) * (y - yh)) / (var_pop(y) * count(*)) AS rsq_trad FROM p)
+UNPIVOT m ON rmse, mae, mse, rsq, rsq_trad INTO NAME metric VALUE estimate""", dbl=["estimate"])
+def k11_last_fit_linear(spark, d):
+    it = items(Tables(spark, d)).withColumn("price_k", F.col("l_extendedprice") / 1000)
+    sp = R.initial_split(it, "id", 0.75, seed=42)
+    wf = Workflow(Recipe("price_k", ids=["id"], predictors=["l_quantity"]).step_normalize(), K.linear_reg())
+    return last_fit(wf, R.training(sp), R.testing(sp))
 
 
 @query("k06_m13_overfit_gap")
@@ -276,8 +282,6 @@ def i04_rank_agreement(spark, d):
 @query("v01_fit_resamples")
 def v01_fit_resamples(spark, d):
     """Recipe re-prepped inside each fold, logistic fit, fold accuracy/AUC, then collect_metrics."""
-    from faro.operators.recipe import Recipe
-
     data = R.vfold(_survey_model(spark, d), "id", v=5, strata="y", seed=42).cache()
 
     def fit_score(analysis, assessment):
@@ -311,9 +315,8 @@ def v05_tune_grid(spark, d):
 @query("v08_last_fit")
 def v08_last_fit(spark, d):
     train, test = _split(spark, d)
-    f = K.fit(K.logistic_reg(penalty=0.001, mixture=0.0), train, "y", FEATS, LEVELS)
-    p = f.predict(test)
-    return M.to_long(M.accuracy(p, "y", "pred_class").crossJoin(M.roc_auc(p, "y", "pred_si", "si")), ["accuracy", "roc_auc"])
+    wf = Workflow(Recipe("y", ids=["id"], predictors=FEATS), K.logistic_reg(), LEVELS).set(penalty=0.001, mixture=0.0)
+    return last_fit(wf, train, test)
 
 
 @query("v09_v10_ridge_cv_from_gram")
