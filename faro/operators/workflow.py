@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from faro.operators import metrics as M
@@ -30,7 +31,8 @@ class Workflow:
         return replace(self, spec=self.spec.set(**params))
 
     def fit(self, train: DataFrame) -> "FittedWorkflow":
-        return _fit_prepped(self, self.recipe.prep(train), train)
+        prepped = self.recipe.prep(train)
+        return _fit_baked(self, prepped, prepped.bake(train))
 
 
 @dataclass
@@ -53,8 +55,7 @@ class FittedWorkflow:
         return M.to_long(both, ["accuracy", "roc_auc"])
 
 
-def _fit_prepped(wf: Workflow, prepped, train: DataFrame) -> FittedWorkflow:
-    baked = prepped.bake(train)
+def _fit_baked(wf: Workflow, prepped, baked: DataFrame) -> FittedWorkflow:
     features = [c for c in baked.columns if c != wf.recipe.outcome and c not in wf.recipe.ids]
     return FittedWorkflow(wf, prepped, fit(wf.spec, baked, wf.recipe.outcome, features, wf.levels))
 
@@ -66,7 +67,11 @@ def last_fit(wf: Workflow, train: DataFrame, test: DataFrame) -> DataFrame:
 
 def batch_models(recipe: Recipe, specs: Mapping[str, ModelSpec], train: DataFrame, test: DataFrame,
                  levels: Sequence | None = None) -> DataFrame:
-    """(model, metric, estimate) of several models on one recipe, which is prepped once."""
+    """(model, metric, estimate) of several models on one recipe, which is prepped and baked once for all fits."""
     prepped = recipe.prep(train)
-    return M.metric_set({name: _fit_prepped(Workflow(recipe, spec, levels), prepped, train).evaluate(test)
-                         for name, spec in specs.items()})
+    baked = prepped.bake(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = {name: _fit_baked(Workflow(recipe, spec, levels), prepped, baked) for name, spec in specs.items()}
+    finally:
+        baked.unpersist()
+    return M.metric_set({name: f.evaluate(test) for name, f in fits.items()})
