@@ -256,9 +256,14 @@ def retrieve(query_terms: DataFrame, doc_weights: DataFrame, qid: str, doc: str,
 
 def build_context(ranked: DataFrame, qid: str, length: str, max_chars: int) -> DataFrame:
     """Keep retrieved documents in rank order while the running length stays within ``max_chars``
-    (a window over at most k rows per query)."""
+    (a window over at most k rows per query).
+
+    The first document always stays, so that no context is empty; ``fits`` is
+    false where it alone is longer.
+    """
     w = Window.partitionBy(qid).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn("cum_chars", F.sum(length).over(w)).filter(F.col("cum_chars") <= max_chars)
+    return ranked.withColumn("cum_chars", F.sum(length).over(w)).withColumn("fits", F.col("cum_chars") <= max_chars) \
+                 .filter(F.col("fits") | (F.col("rank") == 1))
 
 
 def cost_estimate(texts: DataFrame, words: str, prices: DataFrame, tokens_per_word: float = 1.3,

@@ -90,16 +90,14 @@ def freq_prop(df: DataFrame, cols: Sequence[str], within: Sequence[str] = ()) ->
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """Long cross-tab (a, b, n) with zero cells kept.
 
-    Counted with a pivot on ``b`` (its levels are discovered by Spark and
-    bounded by ``spark.sql.pivotMaxValues``), zero-filled and unpivoted:
-    every (a, b) cell appears without crossing two data-derived tables.
+    The levels of ``b`` travel as one array to each level of ``a`` (the answer
+    holds them there anyway), so every cell appears whatever their number.
     """
-    btype = df.schema[b].dataType
-    w = df.filter(F.col(b).isNotNull()).groupBy(a).pivot(b).agg(F.count(F.lit(1)))
-    levels = [c for c in w.columns if c != a]
-    w = w.fillna(0, subset=levels)
-    long = w.unpivot([a], [F.col(f"`{c}`").cast("bigint").alias(c) for c in levels], "_b", "n")
-    return long.select(a, F.col("_b").cast(btype).alias(b), "n")
+    c = df.filter(F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    levels = c.agg(F.collect_set(b).alias("_levels"))  # one row
+    cells = c.select(F.col(a).alias("_a")).distinct().crossJoin(F.broadcast(levels)).select("_a", F.explode("_levels").alias("_b"))
+    j = cells.join(c, cells["_a"].eqNullSafe(c[a]) & (cells["_b"] == c[b]), "left")
+    return j.select(F.col("_a").alias(a), F.col("_b").alias(b), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
 def contingency_wide(df: DataFrame, a: str, b: str, b_levels: Sequence[str]) -> DataFrame:

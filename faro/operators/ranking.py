@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 # md5 hex prefix length used for random-order buckets: 3 hex digits = 4096 buckets
 HASH_PREFIX_DIGITS = 3
+# rows of a range bucket beyond which more buckets are cut
+BUCKET_ROWS = 200_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -71,7 +73,7 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = 256, out:
     from pyspark.ml.feature import Bucketizer
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("q")).first()
+    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, max(10000, 10 * n_buckets)).alias("q")).first()
     splits = sorted(set(float(x) for x in (row["q"] or []) if x is not None and x == x and abs(x) != float("inf")))
     d = df.withColumn("_ord_d", F.col(order_col).cast("double"))
     b = Bucketizer(splits=[-float("inf")] + splits + [float("inf")], inputCol="_ord_d", outputCol=out, handleInvalid="keep")
@@ -80,14 +82,18 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = 256, out:
 
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], groups: Sequence[str] = (),
                  descending: bool = False, n_buckets: int = 256, inclusive: bool = True,
-                 suffix: str = "_cum") -> DataFrame:
+                 suffix: str = "_cum", ready: bool = False) -> DataFrame:
     """Running sums of ``value_cols`` ordered by ``order_col`` (unique within a group).
 
     ``inclusive`` includes the current row.  Used on already-aggregated
-    tables (e.g. one row per distinct score), where keys are unique.
+    tables (e.g. one row per distinct score), where keys are unique.  ``ready``
+    says that ``df`` is written already.  There are at least ``n_buckets``
+    buckets, and more where one would hold over ``BUCKET_ROWS`` rows.
     """
     groups = list(groups)
-    df = with_range_bucket(materialize(df), order_col, n_buckets)
+    df = df if ready else materialize(df)
+    n_buckets = max(n_buckets, -(-df.count() // BUCKET_ROWS))
+    df = with_range_bucket(df, order_col, n_buckets)
     if descending:
         df = df.withColumn("_bkt", F.lit(n_buckets + 1) - F.col("_bkt"))
     tots = df.groupBy(*groups, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
@@ -128,20 +134,19 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     spark = df.sparkSession
     v = F.col(value).cast("double")
     vc = df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cum = materialize(running_sums(vc, "_v", ["_c"], by))  # adds _c_cum (inclusive)
-    n = cum.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    vc = materialize(vc)
+    cum = running_sums(vc, "_v", ["_c"], by, ready=True)  # adds _c_cum (inclusive)
+    n = vc.groupBy(*by).agg(F.sum("_c").alias("_n"))
     pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
     tgt = (n.crossJoin(F.broadcast(pr))
            .withColumn("_h", (F.col("_n") - 1) * F.col("prob") + 1)
            .withColumn("_lo", F.floor("_h").cast("bigint"))
            .withColumn("_hi", F.ceil("_h").cast("bigint")))
-    lo = (_join(cum, tgt, by)
-          .filter((F.col("_c_cum") - F.col("_c") < F.col("_lo")) & (F.col("_lo") <= F.col("_c_cum")))
-          .select(*by, "prob", "_h", "_lo", F.col("_v").alias("_vlo")))
-    hi = (_join(cum, tgt.select(*by, "prob", "_hi"), by)
-          .filter((F.col("_c_cum") - F.col("_c") < F.col("_hi")) & (F.col("_hi") <= F.col("_c_cum")))
-          .select(*by, "prob", F.col("_v").alias("_vhi")))
-    j = lo.join(hi, [*by, "prob"], "inner")
+    below = F.col("_c_cum") - F.col("_c")
+    at_lo = (below < F.col("_lo")) & (F.col("_lo") <= F.col("_c_cum"))
+    at_hi = (below < F.col("_hi")) & (F.col("_hi") <= F.col("_c_cum"))
+    j = (_join(cum, tgt, by).filter(at_lo | at_hi).groupBy(*by, "prob", "_h", "_lo")
+         .agg(F.max(F.when(at_lo, F.col("_v"))).alias("_vlo"), F.max(F.when(at_hi, F.col("_v"))).alias("_vhi")))
     q = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
     return j.select(*by, "prob", q.alias(out))
 
@@ -155,19 +160,19 @@ def quantiles_wide(df: DataFrame, value: str, probs: Sequence[float], names: Seq
 
 
 def value_rank(df: DataFrame, order_col: str, tiebreak: Sequence[str] = (), descending: bool = True,
-               out: str = "rank", n_buckets: int = 256) -> DataFrame:
+               out: str = "rank") -> DataFrame:
     """Global 1-based row_number by ``order_col`` (then ``tiebreak``) without one-task windows.
 
-    Rows are cut into range buckets of the order value (approximate
-    quantiles: balanced by construction), counts per bucket become offsets,
-    and row_number runs inside each bucket.
+    Spark's distributed sort cuts the rows into ranges of (value, tie-break),
+    so rows that share one value are spread too.  Each sorted row's place in
+    its range is kept in a written table; counts per range become offsets (one
+    row per sort partition).
     """
-    d = with_range_bucket(df, order_col, n_buckets)
-    if descending:
-        d = d.withColumn("_bkt", F.lit(n_buckets + 1) - F.col("_bkt"))
+    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    place = F.monotonically_increasing_id()  # sort partition in the high bits, position in it in the low 33
+    d = materialize(df.orderBy(oc, *[F.col(c) for c in tiebreak]).withColumn("_place", place))
+    d = d.withColumn("_bkt", F.shiftright("_place", 33)).withColumn("_pos", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_nb"))
     offs = counts.withColumn("_off", F.sum("_nb").over(Window.orderBy("_bkt")) - F.col("_nb")).drop("_nb")
-    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w = Window.partitionBy("_bkt").orderBy(oc, *[F.col(c) for c in tiebreak])
-    return (d.join(F.broadcast(offs), "_bkt").withColumn(out, (F.row_number().over(w) + F.col("_off")).cast("int"))
-            .drop("_bkt", "_off"))
+    return (d.join(F.broadcast(offs), "_bkt").withColumn(out, F.col("_pos") + F.col("_off") + 1)
+            .drop("_bkt", "_pos", "_off", "_place"))

@@ -178,14 +178,23 @@ class PreppedRecipe:
 
 # ------------------------------------------------------------------------- fit / apply
 
+MAX_LEVELS = 10_000  # levels of one factor that may come to the driver
+
+
+def _levels(df, c):
+    """Sorted levels of a column; a column with more than ``MAX_LEVELS`` is no factor and raises (see step_other)."""
+    rows = df.select(c).na.drop().distinct().limit(MAX_LEVELS + 1).collect()
+    if len(rows) > MAX_LEVELS:
+        raise ValueError(f"{c} has more than {MAX_LEVELS} levels: lump them with step_other or declare them")
+    return sorted(r[0] for r in rows)
+
 
 def _fit_dummy(df, cols, p):
     levels = dict(p.get("levels") or {})
     need = [c for c in cols if c not in levels]
     if need:
-        row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in need]).first()
         for c in need:
-            levels[c] = list(row[c] or [])
+            levels[c] = _levels(df, c)
     return {"cols": cols, "levels": {c: levels[c] for c in cols}, "one_hot": p.get("one_hot", False)}
 
 
@@ -247,8 +256,7 @@ def _apply_drop(df, s):
 def _fit_levels(df, cols, p):
     if not cols:
         return {"levels": {}, "new_level": p.get("new_level", "new")}
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
-    return {"levels": {c: list(row[c] or []) for c in cols}, "new_level": p.get("new_level", "new")}
+    return {"levels": {c: _levels(df, c) for c in cols}, "new_level": p.get("new_level", "new")}
 
 
 def _apply_novel(df, s):

@@ -111,22 +111,27 @@ def sparsity_report(triples: DataFrame, doc: str) -> DataFrame:
                   .withColumn("sparsity", 1 - F.col("non_zero") / (F.col("n_docs").cast("double") * F.col("n_terms")))
 
 
-def tf_idf(counts: DataFrame, doc: str, term: str = "term", n: str = "n", materialize: bool = True) -> DataFrame:
+def tf_idf(counts: DataFrame, doc: str, term: str = "term", n: str = "n", materialize: bool = True,
+           terms: DataFrame | None = None) -> DataFrame:
     """tf = n / terms in doc; idf = ln(N_docs / docs containing term); tf_idf = tf * idf.
 
     Document totals and document frequencies are aggregations joined back
     (a hot term has one row in the df table, so the join stays cheap; AQE
     splits a skewed partition on the big side).  The (doc, term, n) triples
     feed three branches, so by default they are computed once and
-    checkpointed: the texts are tokenised a single time.
+    checkpointed: the texts are tokenised a single time.  ``terms`` (one
+    column) keeps the weights of these terms only; lengths and the number of
+    documents still count every term.
     """
     if materialize:
         from faro.operators.ranking import materialize as _mat
 
         counts = _mat(counts)
     tot = counts.groupBy(doc).agg(F.sum(n).alias("_dt"))
-    dfreq = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
     nd = tot.agg(F.count(F.lit(1)).alias("_N"))
+    if terms is not None:
+        counts = counts.join(terms.select(F.col(terms.columns[0]).alias(term)), term, "left_semi")
+    dfreq = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
     j = counts.join(tot, doc).join(dfreq, term).crossJoin(F.broadcast(nd))
     tf = F.col(n).cast("double") / F.col("_dt")
     idf = F.ln(F.col("_N").cast("double") / F.col("_df"))

@@ -233,16 +233,16 @@ q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{
 s AS (SELECT item_id, doc_id, sum(w) AS score FROM q JOIN w USING (term) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score * 1e9) DESC, doc_id) AS rank FROM s),
 k AS (SELECT r.*, d.n_chars FROM r JOIN documents d USING (doc_id) WHERE rank <= 3)
-SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank, n_chars, cum_chars FROM (
+SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank, n_chars, cum_chars, cum_chars <= 12000 AS fits FROM (
   SELECT *, sum(n_chars) OVER (PARTITION BY item_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_chars FROM k)
-WHERE cum_chars <= 12000""", dbl=["score"], big=["cum_chars"])
+WHERE cum_chars <= 12000 OR rank = 1""", dbl=["score"], big=["cum_chars"])
 def n14_retrieve_build_context(spark, d):
     t = Tables(spark, d)
-    w = TX.tf_idf(TX.dtm_triples(_clean(spark, d), "doc_id"), "doc_id").select("doc_id", "term", F.col("tf_idf").alias("w"))
     q = TX.tokenize(t.benchmark, "item_id", "text", out="term").select("item_id", "term").distinct().withColumn("qw", F.lit(1.0))
+    w = TX.tf_idf(TX.dtm_triples(_clean(spark, d), "doc_id"), "doc_id", terms=q.select("term")).select("doc_id", "term", F.col("tf_idf").alias("w"))
     r = N.retrieve(q, w, "item_id", "doc_id", 3)
     r = r.join(t.documents.select("doc_id", "n_chars"), "doc_id")
-    return N.build_context(r, "item_id", "n_chars", 12000).select("item_id", "doc_id", "score", "rank", "n_chars", "cum_chars")
+    return N.build_context(r, "item_id", "n_chars", 12000).select("item_id", "doc_id", "score", "rank", "n_chars", "cum_chars", "fits")
 
 
 @query("n15_chunk_text", r"""WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS arr FROM documents),

@@ -20,11 +20,11 @@ def run(spark, name, d=SMOKE):
 
 
 def test_property_queries_registered_run(spark):
-    # every rows-only query yields a result with a stable schema
+    # every rows-only query yields rows
     for name, q in sorted(Q.items()):
         if q.sql is None and name not in ("t21_lsa_document_vectors", "t20_choose_k", "c06_elbow", "c08_silhouette_by_k"):
             df = q.build(spark, SMOKE)
-            assert len(df.columns) > 0, name
+            assert len(df.columns) > 0 and not df.isEmpty(), name
 
 
 def test_split_is_partition_independent(spark):
@@ -147,11 +147,11 @@ def test_lda_gamma_rows_sum_to_one(spark):
     from faro.plans.q_topics import _docs
 
     docs = _docs(spark, SMOKE)
-    tm = TP.lda(docs, 3, max_iter=5, vocab_size=2000)
+    tm = TP.lda(docs, 3, max_iter=5)
     g = TP.doc_topics(tm, docs, "doc_id").groupBy("doc_id").agg(F.sum("gamma").alias("s"))
-    # documents with no in-vocabulary term get an all-zero mixture; every other row sums to one
-    assert all(abs(r.s - 1) < 1e-6 or r.s == 0.0 for r in g.collect())
-    assert sum(1 for r in g.collect() if r.s == 0.0) < 0.1 * docs.count()
+    assert len(tm.vocab) == docs.select(F.explode("tokens").alias("t")).distinct().count()
+    got = [r.s for r in g.collect()]
+    assert len(got) == docs.count() and all(abs(s - 1) < 1e-6 for s in got)
 
 
 def test_lsa_singular_values_sorted(spark):
@@ -228,6 +228,11 @@ def test_ranks_and_running_sums_match_global_window(spark):
     r1 = value_rank(df.repartition(5), "v", ["id"], descending=True).select("id", "rank")
     r2 = df.select("id", F.row_number().over(Window.orderBy(F.desc("v"), "id")).alias("rank"))
     assert r1.exceptAll(r2).count() == 0
+    # two thirds of the rows hold one value: its rows are split by the tie-break
+    hot = df.withColumn("v", F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("v")))
+    h1 = value_rank(hot.repartition(5), "v", ["id"], descending=False).select("id", "rank")
+    h2 = hot.select("id", F.row_number().over(Window.orderBy("v", "id")).alias("rank"))
+    assert h1.exceptAll(h2).count() == 0
     agg = df.groupBy("g", "v").agg(F.count("*").alias("c"))
     rs = running_sums(agg.repartition(7), "v", ["c"], ["g"]).select("g", "v", "c_cum")
     ref = agg.select("g", "v", F.sum("c").over(Window.partitionBy("g").orderBy("v")).alias("c_cum"))
