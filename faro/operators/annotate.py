@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faro.functions.core import col, safe_div, stable_hash
+from faro.functions.core import col, cut_expr, safe_div, stable_hash
 from faro.operators.ranking import materialize
 
 # ------------------------------------------------------------------ prompts
@@ -230,6 +230,12 @@ def compare_category_shares(real: DataFrame, synth: DataFrame, c: str) -> DataFr
     return j.crossJoin(tvd)
 
 
+def compare_bin_shares(real: DataFrame, synth: DataFrame, value: str, breaks: Sequence[float], labels: Sequence[str]) -> DataFrame:
+    """Shares of right-closed bins of a numeric column in both tables (values outside the breaks, and NULLs, are in no bin)."""
+    binned = [d.select(cut_expr(value, breaks, labels).alias("bin")).filter("bin is not null") for d in (real, synth)]
+    return compare_category_shares(*binned, "bin")
+
+
 def compare_means_corr(real: DataFrame, synth: DataFrame, a: str, b: str) -> DataFrame:
     def st(d, name):
         return d.agg(F.avg(col(a).cast("double")).alias(f"mean_{a}_{name}"), F.avg(col(b).cast("double")).alias(f"mean_{b}_{name}"),

@@ -8,7 +8,7 @@ single-partition window.  0/0 yields NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,6 +113,17 @@ def mn_log_loss(df: DataFrame, truth: str, prob_event: str, event, by: Sequence[
     return df.groupBy(*by).agg((-F.avg(F.ln(p_true))).alias("mn_log_loss"))
 
 
+def multinomial_log_loss(df: DataFrame, truth: str, probs: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """Mean log loss over any number of classes; ``probs`` maps each level of ``truth`` to its probability column.
+
+    Probabilities are clamped to [eps, 1-eps]; a row whose truth is NULL or no
+    listed level does not count.
+    """
+    p_true = F.coalesce(*[F.when(col(truth) == F.lit(lv), col(c).cast("double")) for lv, c in probs.items()])
+    p = F.least(F.greatest(p_true, F.lit(LOG_LOSS_EPS)), F.lit(1.0 - LOG_LOSS_EPS))
+    return df.groupBy(*by).agg((-F.avg(F.ln(F.when(p_true.isNotNull(), p)))).alias("mn_log_loss"))
+
+
 def _score_counts(df: DataFrame, truth: str, score: str, event, by: Sequence[str]) -> DataFrame:
     return (df.groupBy(*by, col(score).cast("double").alias("threshold"))
             .agg(F.count_if(col(truth) == F.lit(event)).alias("pos"),

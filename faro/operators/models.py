@@ -318,6 +318,20 @@ def fit_by_group(df: DataFrame, group: str, y: str, features: Sequence[str]) ->
     return g.groupBy(group).applyInPandas(solve, f"{group} {gt}, term string, estimate double")
 
 
+def fit_by_subset(spec: ModelSpec, df: DataFrame, group: str, y: str, features: Sequence[str], levels: Sequence | None = None,
+                  max_groups: int = 1000) -> dict:
+    """One fit of any model per level of ``group`` (train by subset): {level: fitted model}.
+
+    Every fit is a Spark job over its subset, so the levels are bounded: beyond
+    ``max_groups`` this raises (``fit_by_group`` solves OLS for any number of
+    groups in one pass).  Rows without a level belong to no subset.
+    """
+    found = sorted(r[0] for r in df.select(group).na.drop().distinct().limit(max_groups + 1).collect())
+    if len(found) > max_groups:
+        raise ValueError(f"{group} has more than {max_groups} levels")
+    return {g: fit(spec, df.filter(F.col(group) == F.lit(g)), y, features, levels) for g in found}
+
+
 def gram_by_fold(df: DataFrame, fold: str, y: str, features: Sequence[str]) -> DataFrame:
     """Per-fold X'X, X'y, y'y in one pass."""
     return gram(df, features, y, [fold])

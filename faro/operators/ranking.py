@@ -160,19 +160,24 @@ def quantiles_wide(df: DataFrame, value: str, probs: Sequence[float], names: Seq
 
 
 def value_rank(df: DataFrame, order_col: str, tiebreak: Sequence[str] = (), descending: bool = True,
-               out: str = "rank") -> DataFrame:
-    """Global 1-based row_number by ``order_col`` (then ``tiebreak``) without one-task windows.
+               out: str = "rank", groups: Sequence[str] = ()) -> DataFrame:
+    """1-based row_number by ``order_col`` (then ``tiebreak``), over all rows or within ``groups``.
 
-    Spark's distributed sort cuts the rows into ranges of (value, tie-break),
-    so rows that share one value are spread too.  Each sorted row's place in
-    its range is kept in a written table; counts per range become offsets (one
-    row per sort partition).
+    Spark's distributed sort cuts the rows into ranges of (groups, value,
+    tie-break), so neither a hot group nor rows that share one value end in
+    one task.  Each sorted row's place in its range is kept in a written table;
+    counts per (group, range) become offsets.
     """
+    groups = list(groups)
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     place = F.monotonically_increasing_id()  # sort partition in the high bits, position in it in the low 33
-    d = materialize(df.orderBy(oc, *[F.col(c) for c in tiebreak]).withColumn("_place", place))
-    d = d.withColumn("_bkt", F.shiftright("_place", 33)).withColumn("_pos", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_nb"))
-    offs = counts.withColumn("_off", F.sum("_nb").over(Window.orderBy("_bkt")) - F.col("_nb")).drop("_nb")
-    return (d.join(F.broadcast(offs), "_bkt").withColumn(out, F.col("_pos") + F.col("_off") + 1)
-            .drop("_bkt", "_pos", "_off", "_place"))
+    d = materialize(df.orderBy(*[F.col(c) for c in groups], oc, *[F.col(c) for c in tiebreak]).withColumn("_place", place))
+    d = d.withColumn("_bkt", F.shiftright("_place", 33))
+    offs = d.groupBy(*groups, "_bkt").agg(F.count(F.lit(1)).alias("_nb"), F.min("_place").alias("_first"))
+    w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_bkt")
+    offs = offs.select(*[F.col(c).alias(f"_g_{c}") for c in groups], F.col("_bkt").alias("_b"),
+                       (F.sum("_nb").over(w) - F.col("_nb") - F.col("_first") + 1).alias("_off"))
+    on = d["_bkt"] == offs["_b"]
+    for c in groups:
+        on = on & d[c].eqNullSafe(offs[f"_g_{c}"])
+    return d.join(offs, on).withColumn(out, F.col("_place") + F.col("_off")).drop("_bkt", "_b", "_off", "_place", *[f"_g_{c}" for c in groups])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faro.functions.core import col, epoch_micros, cut_by_bounds, cut_expr, numeric_columns, safe_div, stable_hash
-from faro.operators.ranking import quantiles
+from faro.operators.ranking import quantiles, value_rank
 
 # ---------------------------------------------------------------- P: rows/cols
 
@@ -278,10 +278,8 @@ def slice_sample(df: DataFrame, by: Sequence[str], key: str, n: int, seed: int =
 
 def rank_within(df: DataFrame, by: Sequence[str], order: str, descending: bool = True, tiebreak: Sequence[str] = (),
                 out: str = "rank") -> DataFrame:
-    """Display order per facet (``reorder_within``): row_number per group."""
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    w = Window.partitionBy(*by).orderBy(o, *[F.col(c) for c in tiebreak])
-    return df.withColumn(out, F.row_number().over(w))
+    """Display order per facet (``reorder_within``): row_number per group, a hot group spread over tasks."""
+    return value_rank(df, order, tiebreak, descending, out, groups=by)
 
 
 def rolling(df: DataFrame, key: str, ts: str, value: str, seconds: int, chunk_seconds: int | None = None) -> DataFrame:

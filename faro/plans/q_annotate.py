@@ -226,6 +226,19 @@ def n13_compare_synthetic_means(spark, d):
     return N.compare_means_corr(li.filter(F.col("l_returnflag") == "N"), li.filter(F.col("l_returnflag") != "N"), "l_quantity", "l_discount")
 
 
+@query("n13_compare_synthetic_bins", """WITH b AS (SELECT year(o_orderdate) < 1998 AS is_real, CASE WHEN o_totalprice > 0 AND o_totalprice <= 50000 THEN 'low'
+WHEN o_totalprice > 50000 AND o_totalprice <= 150000 THEN 'mid' WHEN o_totalprice > 150000 AND o_totalprice <= 1e12 THEN 'high' END AS bin FROM orders),
+r AS (SELECT bin, count(*) AS n FROM b WHERE is_real AND bin IS NOT NULL GROUP BY 1), s AS (SELECT bin, count(*) AS n FROM b WHERE NOT is_real AND bin IS NOT NULL GROUP BY 1),
+j AS (SELECT COALESCE(r.bin, s.bin) AS bin, COALESCE(r.n / CAST(sum(r.n) OVER () AS DOUBLE), 0.0) AS share_real,
+      COALESCE(s.n / CAST(sum(s.n) OVER () AS DOUBLE), 0.0) AS share_synth FROM r FULL JOIN s USING (bin))
+SELECT *, share_synth - share_real AS diff, 0.5 * sum(abs(share_synth - share_real)) OVER () AS tvd FROM j""",
+       dbl=["share_real", "share_synth", "diff", "tvd"])
+def n13_compare_synthetic_bins(spark, d):
+    o = Tables(spark, d).orders
+    return N.compare_bin_shares(o.filter(F.year("o_orderdate") < 1998), o.filter(F.year("o_orderdate") >= 1998), "o_totalprice",
+                                [0, 50000, 150000, 1e12], ["low", "mid", "high"])
+
+
 @query("n14_retrieve_build_context", lambda: CLEAN_SQL() + r""", c AS (SELECT doc_id, token AS term, count(*) AS n FROM cl GROUP BY ALL),
 dt AS (SELECT doc_id, sum(n) AS dt FROM c GROUP BY 1), df AS (SELECT term, count(*) AS df FROM c GROUP BY 1), nd AS (SELECT count(*) AS nd FROM dt),
 w AS (SELECT doc_id, term, n / CAST(dt AS DOUBLE) * ln(nd / CAST(df AS DOUBLE)) AS w FROM c JOIN dt USING (doc_id) JOIN df USING (term), nd),

@@ -95,6 +95,18 @@ def m06_mn_log_loss(spark, d):
     return M.mn_log_loss(scored(Tables(spark, d)), "truth", "score", 1, by=["grp"])
 
 
+@query("m06_mn_log_loss_multiclass", """WITH o AS (SELECT year(o_orderdate) AS yr, o_orderstatus AS st FROM orders),
+t AS (SELECT yr, count(*) AS t FROM o GROUP BY 1), c AS (SELECT yr, st, count(*) AS n FROM o GROUP BY ALL)
+SELECT -sum(n * ln(LEAST(GREATEST(n / CAST(t AS DOUBLE), pow(2.0, -52)), 1 - pow(2.0, -52)))) / sum(n) AS mn_log_loss FROM c JOIN t USING (yr)""",
+       dbl=["mn_log_loss"])
+def m06_mn_log_loss_multiclass(spark, d):
+    """Order status predicted by its shares in the order's year."""
+    o = Tables(spark, d).orders.select(F.year("o_orderdate").alias("yr"), F.col("o_orderstatus").alias("st"))
+    levels = ["F", "O", "P"]
+    shares = o.groupBy("yr").agg(*[F.avg((F.col("st") == lv).cast("double")).alias(f"prob_{lv}") for lv in levels])
+    return M.multinomial_log_loss(o.join(shares, "yr"), "st", {lv: f"prob_{lv}" for lv in levels})
+
+
 ROC_SQL = S + """, sc AS (SELECT grp, score AS threshold, count_if(truth = 1) AS pos, count_if(truth <> 1) AS neg FROM s GROUP BY ALL),
 cum AS (SELECT *, sum(pos) OVER (PARTITION BY grp ORDER BY threshold DESC) AS pc,
                sum(neg) OVER (PARTITION BY grp ORDER BY threshold DESC) AS nc,

@@ -11,8 +11,9 @@ from faro.operators import resample as R
 from faro.operators import tuning as V
 from faro.operators.cluster import centroids
 from faro.operators.recipe import Recipe
+from faro.operators.verbs import with_params
 from faro.operators.workflow import Workflow, batch_models, last_fit
-from faro.plans.inputs import ITEMS_SQL, SURVEY_SQL, items, survey
+from faro.plans.inputs import ITEMS_SQL, SCORED_SQL, SURVEY_SQL, items, scored, survey
 from faro.plans.registry import query
 from faro.sources.tables import Tables
 
@@ -65,6 +66,18 @@ def k15_fit_by_group(spark, d):
     return K.fit_by_group(it, "l_returnflag", "price_k", ["l_quantity"])
 
 
+@query("k15_forest_by_subset")
+def k15_forest_by_subset(spark, d):
+    """A forest per order status, each evaluated on the test rows of its own status."""
+    train, test = _split(spark, d)
+    fits = K.fit_by_subset(K.rand_forest(trees=10), train, "status", "y", ["price_k", "balance_k"], LEVELS)
+    parts = [M.accuracy(f.predict(test.filter(F.col("status") == g)), "y", "pred_class").select(F.lit(g).alias("status"), "accuracy") for g, f in fits.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 _gini_cols = ["price_k", "balance_k"]
 _gini_long = " UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS value, y FROM s" for c in _gini_cols)
 
@@ -292,6 +305,7 @@ def v01_fit_resamples(spark, d):
                 ("roc_auc", M.roc_auc(p, "y", "pred_si", "si").first()["roc_auc"])]
 
     rows = V.fit_resamples(data, "fold", 5, fit_score)
+    data.unpersist()
     fs = spark.createDataFrame(rows, "fold int, metric string, estimate double").withColumn("config", F.lit("logistic"))
     return V.collect_metrics(fs, ["config"])
 
@@ -307,6 +321,7 @@ def v05_tune_grid(spark, d):
         return [("roc_auc", M.roc_auc(f.predict(b), "y", "pred_si", "si").first()["roc_auc"])]
 
     rows = V.tune_grid(data, "fold", 5, grid, fit_score)
+    data.unpersist()
     fs = spark.createDataFrame([(grid[c]["penalty"], grid[c]["mixture"], f, m, v) for c, f, m, v in rows],
                                "penalty double, mixture double, fold int, metric string, estimate double")
     return V.collect_metrics(fs, ["penalty", "mixture"])
@@ -329,6 +344,33 @@ def v09_v10_ridge_cv_from_gram(spark, d):
     return fs.groupBy("penalty").agg(F.avg("rmse").alias("mean_rmse"), F.count(F.lit(1)).alias("n"))
 
 
+def _grid_accuracy(spark, d, grid):
+    """Accuracy of the predictions table at each cutoff of the literal grid (further grid columns are carried along)."""
+    hit = ((F.col("score") >= F.col("threshold")).cast("int") == F.col("truth")).cast("double")
+    s = scored(Tables(spark, d)).select("score", "truth").filter("truth is not null")
+    return with_params(s, grid).groupBy(*grid.columns).agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
+
+
+_GRID_SQL = f"WITH s AS (SELECT * FROM ({SCORED_SQL}) WHERE truth IS NOT NULL), "
+
+
+@query("v03_grid_regular", _GRID_SQL + """g AS (SELECT a.i / CAST(4 AS DOUBLE) AS threshold, pow(10.0, -3 + b.i) AS penalty FROM range(5) a(i), range(3) b(i))
+SELECT threshold, penalty, count(*) AS n, avg(CAST(CAST(score >= threshold AS INTEGER) = truth AS INTEGER)) - penalty * threshold AS penalised FROM s, g
+GROUP BY threshold, penalty""", dbl=["threshold", "penalty", "penalised"])
+def v03_grid_regular(spark, d):
+    """Cutoffs on a linear and penalties on a log10 axis, levels per parameter; accuracy less the penalty times the cutoff."""
+    grid = V.grid_regular(spark, {"threshold": ("num", 0.0, 1.0), "penalty": ("log10", -3, -1)}, {"threshold": 5, "penalty": 3})
+    out = _grid_accuracy(spark, d, grid)
+    return out.select("threshold", "penalty", "n", (F.col("accuracy") - F.col("penalty") * F.col("threshold")).alias("penalised"))
+
+
+@query("v04_grid_random", _GRID_SQL + """g AS (SELECT i AS config, CAST(('0x' || substr(md5('7:' || i || ':threshold'), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS threshold
+FROM range(1, 9) r(i)) SELECT config, threshold, count(*) AS n, avg(CAST(CAST(score >= threshold AS INTEGER) = truth AS INTEGER)) AS accuracy FROM s, g GROUP BY ALL""",
+       dbl=["threshold", "accuracy"])
+def v04_grid_random(spark, d):
+    return _grid_accuracy(spark, d, V.grid_random(spark, {"threshold": ("num", 0.0, 1.0)}, 8, seed=7))
+
+
 @query("v04_grid_random_fit")
 def v04_grid_random_fit(spark, d):
     """Random penalty grid (hash uniforms) scored on the test split."""

@@ -61,3 +61,33 @@ def s04_write_table_roundtrip(spark, d):
     S.write_table(li.select("l_orderkey", "l_linenumber", "l_returnflag"), out, partition_by=["l_returnflag"])
     back = spark.read.parquet(out)
     return back.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from faro.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}_{uuid.uuid4().hex}"
+
+
+@query("s01_read_table_csv", "SELECT doc_id, NULLIF(text, '') AS text, lang, n_chars FROM documents")
+def s01_read_table_csv(spark, d):
+    """Whole documents (quotes, commas, line breaks, accents) written as CSV and read back with a declared schema; an empty field is NULL."""
+    docs = S.read_table(spark, f"{d}/documents.parquet", fmt="parquet").select("doc_id", "text", "lang", "n_chars")
+    out = _scratch(spark, "s01_csv")
+    S.write_table(docs, out, fmt="csv")
+    return S.read_table(spark, out, docs.schema, fmt="csv", multiLine=True)
+
+
+@query("s05_run_log", """SELECT run_date, 'keyword-annotator' AS run_model, '0.1' AS run_version, '{"k": 3}' AS run_params, count(*) AS n, sum(n_chars) AS raw_chars
+FROM documents, (VALUES ('2026-01-01'), ('2026-01-02')) v(run_date) GROUP BY ALL""", big=["raw_chars"])
+def s05_run_log(spark, d):
+    """Two runs appended with their raw responses (here the texts) to one log; a day's log is one partition."""
+    docs = S.read_table(spark, f"{d}/documents.parquet", fmt="parquet").select("doc_id", F.col("text").alias("raw_response"))
+    out = _scratch(spark, "s05_log")
+    for day in ("2026-01-01", "2026-01-02"):
+        S.append_run(docs, out, "keyword-annotator", "0.1", {"k": 3}, run_date=day)
+    log = spark.read.schema("doc_id long, raw_response string, run_version string, run_params string, run_date string, run_model string").parquet(out)
+    return log.groupBy("run_date", "run_model", "run_version", "run_params").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("raw_response")).cast("bigint").alias("raw_chars"))

@@ -189,6 +189,15 @@ def a01_summarise(spark, d):
     return V.summarise(Tables(spark, d).lineitem, ["l_returnflag"], "l_quantity")
 
 
+@query("a03_per_call_grouping", f"""WITH s AS ({SURVEY_SQL}), g AS (SELECT country, status, avg(price) AS mean_price FROM s GROUP BY ALL)
+SELECT status, count(*) AS n, avg(mean_price) AS mean, stddev_samp(mean_price) AS sd, sum(mean_price) AS sum, min(mean_price) AS min, max(mean_price) AS max
+FROM g GROUP BY status""", dbl=["mean", "sd", "sum", "min", "max"])
+def a03_per_call_grouping(spark, d):
+    """Each call names its own grouping: means by country and status, then their spread by status."""
+    g = V.summarise(survey(Tables(spark, d)), ["country", "status"], "price", median=False).select("country", "status", F.col("mean").alias("mean_price"))
+    return V.summarise(g, ["status"], "mean_price", median=False)
+
+
 @query("a02_conditional_counts", f"""WITH s AS ({SURVEY_SQL})
 SELECT segment, count_if(y = 'si') AS n_si, avg(CAST(y = 'si' AS DOUBLE)) AS share_si, count(*) AS n FROM s GROUP BY 1""",
        dbl=["share_si"], big=["n_si"])
@@ -307,7 +316,7 @@ def w04_slice_sample(spark, d):
 
 @query("w05_rank_within", """WITH c AS (SELECT r_name, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
-SELECT r_name, n_name, n, CAST(row_number() OVER (PARTITION BY r_name ORDER BY n DESC, n_name) AS INTEGER) AS rank FROM c""")
+SELECT r_name, n_name, n, row_number() OVER (PARTITION BY r_name ORDER BY n DESC, n_name) AS rank FROM c""")
 def w05_rank_within(spark, d):
     t = Tables(spark, d)
     j = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "csv",
                header: bool = True, **options) -> DataFrame:
-    """Read a table with a declared schema (CSV: header row, quoted strings, UTF-8).
+    """Read a table with a declared schema (CSV: header row, quoted strings, UTF-8; an empty field is NULL).
 
     Schema inference is only used when no schema is given (a helper for
     exploration; it costs an extra pass over the data).
@@ -53,7 +53,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        # the quote and escape that read_table expects; outer spaces are part of a text
+        w = w.options(header=True, encoding="UTF-8", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)

@@ -200,3 +200,35 @@ def test_bad_json(spark):
     assert out[2].parse_error and out[2].parsed.tone is None
     assert out[3].parse_error and out[3].parsed.confianza is None
     assert out[4].parse_error and out[5].parse_error
+
+
+def test_csv_round_trip_of_awkward_texts(spark, tmp_path):
+    from faro.sources import io as S
+
+    rows = [(1, 'say "hi", twice'), (2, "two\nlines"), (3, None), (4, ""), (5, "  kept spaces "), (6, "back\\slash"), (7, "ñandú, größe"), (8, '"')]
+    df = spark.createDataFrame(rows, "id int, text string")
+    S.write_table(df, str(tmp_path / "t"), fmt="csv")
+    back = S.read_table(spark, str(tmp_path / "t"), df.schema, fmt="csv", multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    assert sorted((r.id, r.text) for r in back.collect()) == [(i, t or None) for i, t in rows]
+
+
+def test_multinomial_log_loss(spark):
+    df = spark.createDataFrame([("a", 0.5, 0.3, 0.2), ("c", 0.1, 0.1, 0.8), (None, 1.0, 0.0, 0.0), ("b", 0.2, 0.0, 0.8)], "y string, pa double, pb double, pc double")
+    got = M.multinomial_log_loss(df, "y", {"a": "pa", "b": "pb", "c": "pc"}).first()[0]
+    assert got == pytest.approx(-(math.log(0.5) + math.log(0.8) + math.log(2.0 ** -52)) / 3, rel=1e-6)
+
+
+def test_context_keeps_a_first_document_that_is_too_long(spark):
+    df = spark.createDataFrame([(1, 1, 500), (1, 2, 10), (2, 1, 40), (2, 2, 50), (2, 3, 60)], "q int, rank int, n int")
+    got = sorted((r.q, r["rank"], r.fits) for r in N.build_context(df, "q", "n", 100).collect())
+    assert got == [(1, 1, False), (2, 1, True), (2, 2, True)]
+
+
+def test_too_many_levels_are_an_error(spark, monkeypatch):
+    from faro.operators import recipe
+
+    monkeypatch.setattr(recipe, "MAX_LEVELS", 2)
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, g string")
+    assert recipe._levels(df, "g") == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 2 levels"):
+        recipe._levels(df.unionByName(spark.createDataFrame([(4, "c")], "id int, g string")), "g")

@@ -233,6 +233,9 @@ def test_ranks_and_running_sums_match_global_window(spark):
     h1 = value_rank(hot.repartition(5), "v", ["id"], descending=False).select("id", "rank")
     h2 = hot.select("id", F.row_number().over(Window.orderBy("v", "id")).alias("rank"))
     assert h1.exceptAll(h2).count() == 0
+    k1 = value_rank(hot.withColumn("g", F.when(F.col("g") > 0, F.col("g"))).repartition(5), "v", ["id"], groups=["g"]).select("id", "rank")
+    k2 = hot.select("id", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), "id")).alias("rank"))
+    assert k1.count() == 3000 and k1.exceptAll(k2).count() == 0
     agg = df.groupBy("g", "v").agg(F.count("*").alias("c"))
     rs = running_sums(agg.repartition(7), "v", ["c"], ["g"]).select("g", "v", "c_cum")
     ref = agg.select("g", "v", F.sum("c").over(Window.partitionBy("g").orderBy("v")).alias("c_cum"))
