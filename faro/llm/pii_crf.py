@@ -1,16 +1,19 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
 Patterns find the base spans.  The field then looks at what the patterns
-missed: number runs and words of a document are its further nodes, next to
-the base spans.  Neighbouring nodes are joined by chain potentials; nodes
+missed: all number runs of a document, with or without a base span in it, and
+the names of its base addresses are its further nodes, next to the base spans.  Neighbouring nodes are joined by chain potentials; nodes
 that hold the same digits (or end in the same digits), or the name part of an
 e-mail address, are joined by skip potentials however far apart they stand.
+A link speaks for agreement, whatever the label; shape and neighbours may
+outvote it, and may find personal data where there is no link.
 Loopy message passing makes labels agree over the whole document, so that a
 number given once as +49 ... is found where it recurs without the sign, and
 an address's name where it recurs without the domain.
 
 Unary and chain weights are log-odds from counts over a bounded sample
-(``max_rows`` documents) in which the base spans are the labels.  Tagging is
+(``max_rows`` documents) in which the base spans are the labels; runs that
+resemble a base span have no known label and are not counted.  Tagging is
 one scan without a shuffle; a document's links grow with its nodes (repeats are
 tied to one occurrence each, not pairwise).
 """
@@ -42,7 +45,7 @@ NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
 NAME = re.compile(r"[A-Za-z0-9._%+-]{5,}")
 LABELS = ("other",) + KINDS
 SAME, LIKE = 9.0, 6.0      # skip potentials of equal nodes and of nodes that end alike
-SHAPE = 4.0                # most that the shape may speak against a label, less than a link speaks for it
+SHAPE = 30.0               # most that the shape may speak against a label, for numeric range only
 ROUNDS, DAMPING = 12, 0.5
 NEAR = 40                  # characters between chain neighbours
 TAIL = 7                   # digits that two similar numbers share at the end
@@ -92,11 +95,21 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
 
 
 def features(surface: str) -> list[str]:
-    """Shape of a node: amount of digits, separators, letters.  The plus sign is left out: it is what base phones all have."""
+    """Shape of a node: amount of digits, separators, letters, sizes of the last groups.  The plus sign is left out: it is what base phones all have."""
     d = len(_digits(surface))
+    groups = [min(len(g), 9) for g in re.findall("[0-9]+", surface)]
     seps = "".join(sorted({c for c in surface if c in " ().-@_"}))
     return [f"digits={min(d, 20)}", f"seps={seps}", f"letters={any(c.isalpha() for c in surface)}",
-            f"groups={min(len(re.findall('[0-9]+', surface)), 6)}"]
+            f"last={'-'.join(map(str, groups[-2:]))}"]
+
+
+def impossible(surface: str) -> list[str]:
+    """Kinds that a node cannot be: a number no email, a name only that, wrong check digits no card, a part beyond 255 no ip."""
+    if not NUMBER.fullmatch(surface):
+        return ["ip", "card", "phone"]
+    d, parts = _digits(surface), surface.split(".")
+    out = ["email"] + ["card"] * (len(d) > 19 or len(d) >= 16 and not luhn(d))
+    return out + ["ip"] * (len(parts) == 4 and all(p.isdigit() for p in parts) and any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in parts))
 
 
 @dataclass
@@ -110,7 +123,7 @@ class Node:
 
 
 def nodes_of(text: str, base: list[tuple[str, int, int]]) -> list[Node]:
-    """Base spans, number runs outside them, and further occurrences of the names in base addresses, by place."""
+    """Base spans, number runs between them, and further occurrences of the names in base addresses, by place."""
     found = [Node(s, e, text[s:e].lstrip("+"), k, *_keys(text[s:e], k)) for k, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
     names = {n.exact for n in found if n.kind == "email"}
@@ -123,7 +136,14 @@ def nodes_of(text: str, base: list[tuple[str, int, int]]) -> list[Node]:
             if k == len(taken) or taken[k][0] >= e:
                 yield s, e
 
-    extra = [Node(s, e, text[s:e], None, *_keys(text[s:e], None)) for s, e in free(m.span() for m in NUMBER.finditer(text))]
+    def runs():
+        at = 0
+        for s, e in [*taken, (len(text), len(text))]:
+            if s > at:
+                yield from (m.span() for m in NUMBER.finditer(text, at, s))   # a run that reaches into a base span is split there
+            at = max(at, e)
+
+    extra = [Node(s, e, text[s:e], None, *_keys(text[s:e], None)) for s, e in runs()]
     if names:
         for s, e in free(m.span() for m in NAME.finditer(text)):
             key = "name:" + text[s:e].strip("._%+-").casefold()
@@ -166,6 +186,8 @@ def infer(nodes: list[Node], model: Model) -> np.ndarray:
         if x.kind:
             phi[i] = -60
             phi[i, LABELS.index(x.kind)] = 0
+        else:
+            phi[i, [LABELS.index(y) for y in impossible(x.surface)]] = -60
     pairs: list[tuple[int, int]] = []
     pots: list[np.ndarray] = []
     chain = np.array(model.chain)
@@ -183,9 +205,9 @@ def infer(nodes: list[Node], model: Model) -> np.ndarray:
     for i, x in enumerate(nodes):
         for key, w in dict([(x.like, LIKE), (x.exact, SAME)]).items():
             j = seed.get(key, last.get(key, i))
-            if j != i:
+            if j != i and (key == x.exact or nodes[j].exact != x.exact):   # equal nodes are tied once
                 pairs.append((j, i))
-                pots.append(w * np.diag([0.0] + [1.0] * (k - 1)))   # entity labels agree; "other" is not carried on
+                pots.append(w * np.eye(k))
             last[key] = i
     if not pairs:
         return phi.argmax(axis=1)
@@ -214,11 +236,7 @@ def tag(text: str | None, model: Model) -> tuple[list[tuple[str, int, int]], lis
     """(base spans, all spans), both by kind and then start."""
     text = text or ""
     base = base_spans(text)
-    if not base:
-        return base, base   # the field only carries labels on from base spans
     nodes = nodes_of(text, base)
-    known = {x.like for x in nodes if x.kind}
-    nodes = [x for x in nodes if x.kind or x.like in known]   # a run that resembles no base span has nothing to agree with
     if len(nodes) == len(base):
         return base, base
     extra, end = [], -1
@@ -230,17 +248,20 @@ def tag(text: str | None, model: Model) -> tuple[list[tuple[str, int, int]], lis
 
 
 def count_evidence(text: str | None) -> Counter:
-    """Counts of (feature, label), (label) and (label, next label) with base spans as labels and other runs as 'other'."""
+    """Counts of (feature, label), (label) and (label, next label) with base spans as labels and runs that resemble none as 'other'."""
     out: Counter = Counter()
     text = text or ""
     ns = nodes_of(text, base_spans(text))
-    ys = [LABELS.index(x.kind) if x.kind else 0 for x in ns]
+    known = {x.like for x in ns if x.kind}
+    ys = [LABELS.index(x.kind) if x.kind else None if x.like in known else 0 for x in ns]
     for x, y in zip(ns, ys):
+        if y is None:
+            continue
         out["n", "", y, 0] += 1
         for f in features(x.surface):
             out["f", f, y, 0] += 1
     for a, b, y, z in zip(ns, ns[1:], ys, ys[1:]):
-        if 0 <= b.start - a.end <= NEAR:
+        if y is not None and z is not None and 0 <= b.start - a.end <= NEAR:
             out["c", "", y, z] += 1
     return out
 
@@ -260,7 +281,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_row
 
     rows = sample.mapInPandas(run, "what string, f string, y int, z int, n long").groupBy("what", "f", "y", "z").agg(F.sum("n").alias("n")).collect()
     k = len(LABELS)
-    per, feat, chain = np.ones(k), defaultdict(lambda: np.full(k, 0.5)), np.ones((k, k))
+    per, feat, chain = np.ones(k), defaultdict(lambda: np.full(k, 0.5)), np.zeros((k, k))
     for r in sorted(rows, key=lambda r: (r["what"], r["f"], r["y"], r["z"])):
         if r["what"] == "n":
             per[r["y"]] += r["n"]
@@ -268,11 +289,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_row
             feat[r["f"]][r["y"]] += r["n"]
         else:
             chain[r["y"], r["z"]] += r["n"]
-    unary = {(f, y): math.log(c[y] / (per[y] + 1)) for f, c in feat.items() for y in range(k)}
-    chain = np.log(chain / chain.sum(axis=1, keepdims=True)) - np.log(per / per.sum())[None, :]
+    values = Counter(f.split("=")[0] for f in feat)
+    unary = {(f, y): math.log(c[y] / (per[y] - 1 + 0.5 * values[f.split("=")[0]])) for f, c in feat.items() for y in range(k)}
+    share = (per / per.sum())[None, :]
+    chain = np.log((chain + k * share) / (chain.sum(axis=1, keepdims=True) + k) / share)   # neighbours never seen have no say
     bias = np.log(per / per.sum())
-    bias[1:] -= 3.0   # shape alone does not make personal data; a skip link does
-    return Model(unary, bias.tolist(), np.clip(chain, -0.5, 0.5).tolist())
+    bias[1:] -= 3.0   # weak shape alone does not make personal data
+    return Model(unary, bias.tolist(), chain.tolist())
 
 
 def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

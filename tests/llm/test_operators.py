@@ -187,6 +187,21 @@ def test_pii_skip_chain_finds_distant_repeats(spark):
     assert pii_crf.find(df.limit(0), pii_crf.fit(df.limit(0))).count() == 0
 
 
+def test_pii_field_outvotes_equal_digits_and_works_without_a_base_span(spark):
+    a = "host 10.20.30.41 serial 10203041 end"                       # the serial has the address's digits and is none
+    b = "ring (151) 234-5678 " + prose(5, 60) + " or (151) 234-5678"  # no base span in the document
+    c = "code 30123456 10.20.30.42 " + prose(6, 30) + " (151) 234-9876 10.20.30.43"   # runs that touch a base span
+    d = "card 4111 1111 1111 1111 not 9311 1111 1111 1111"           # equal ends, wrong check digit
+    train = [(100 + k, f"ring +1 (151) 234-{1000 + k} now, {prose(k, 9)} host 10.1.{k}.7 {prose(k, 9)} order {20000000 + 37 * k} {prose(k, 9)} card 4111 1111 1111 1111") for k in range(60)]
+    df = docs_of(spark, [(1, a), (2, b), (3, c), (4, d), *train])
+    got = {r["doc_id"]: r["spans"] for r in pii_crf.find(df, pii_crf.fit(df)).collect()}
+    found = {i: [(s.split(":")[0], t[int(s.split(":")[1]):int(s.split(":")[2])]) for s in got[i].split(",") if s] for i, t in ((1, a), (2, b), (3, c), (4, d))}
+    assert found[1] == [("ip", "10.20.30.41")]
+    assert found[2] == [("phone", "(151) 234-5678")] * 2
+    assert found[3] == [("ip", "10.20.30.42"), ("ip", "10.20.30.43"), ("phone", "(151) 234-9876")]
+    assert found[4] == [("card", "4111 1111 1111 1111")]
+
+
 # ---------------------------------------------------------------- 6
 
 
