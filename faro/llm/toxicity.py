@@ -3,8 +3,9 @@
 Presence of words and of word beginnings (4 to 6 letters, so that inflected
 forms count together) is scored by logistic regression.  Every labelled text that
 names a group (an identity term) has a counterfactual twin with the term
-swapped for another of its kind; the squared difference of the two scores is
-a penalty, so that the classifier learns the insult and not the group.  The
+swapped for another of its kind; the squared difference of the two scores
+(over all words and beginnings that the swap takes away or brings in) is a
+penalty, so that the classifier learns the insult and not the group.  The
 lasso keeps words out that carry no evidence, so long clean texts do not add
 up to a toxic one.
 
@@ -53,6 +54,28 @@ def presence(text: Column) -> Column:
     return F.array_distinct(F.concat(ws, *begins))
 
 
+def words_of(text: str | None) -> set[str]:
+    out: set[str] = set()
+    for part in spans_of(text or ""):
+        out.update(WORD.findall(part.lower()))
+    return out
+
+
+def features_of(ws: set[str]) -> set[str]:
+    """``presence`` of a text with these words."""
+    return ws | {"^" + w[:k] for k in BEGIN for w in ws if len(w) > k}
+
+
+def twins_of(ws: set[str], at: dict[str, int], swap: dict[str, str]) -> list[list[int]]:
+    """Per identity term of a text: 1 + number of each known feature that its swap takes away, and minus that of each it brings in."""
+    old = features_of(ws)
+    out = []
+    for w in sorted(ws & swap.keys()):
+        new = features_of((ws - {w}) | {swap[w]})
+        out.append(sorted([at[f] + 1 for f in old - new if f in at] + [-at[f] - 1 for f in new - old if f in at]))
+    return [t for t in out if t]
+
+
 def _swaps(groups) -> dict[str, str]:
     return {w: g[(k + 1) % len(g)] for g in groups for k, w in enumerate(g)}
 
@@ -61,28 +84,30 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[tuple[int, int]], n_words: int,
+def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[list[int]], n_words: int,
                 lasso: float = 2e-4, fairness: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient on mean log loss + fairness * mean squared twin difference + lasso.
 
-    ``rows`` are the word numbers present in each text; a twin (word, other)
-    is one swap, its score difference w[word] - w[other].
+    ``rows`` are the word numbers present in each text; a twin is one swap as
+    in ``twins_of``, its score difference the signed sum of those weights.
     """
     n = max(len(rows), 1)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([c for r in rows for c in r], dtype=np.int64)
-    tw = np.array(twins, dtype=np.int64).reshape(-1, 2)
+    t_at = np.repeat(np.arange(len(twins)), [len(t) for t in twins])
+    signed = np.array([c for t in twins for c in t], dtype=np.int64)
+    t_col, sign = np.abs(signed) - 1, np.sign(signed).astype(float)
     pos = max(y.mean() if len(y) else 0.5, 1e-6)
     bias0 = float(np.log(pos / max(1 - pos, 1e-6)))
     longest = max((len(r) for r in rows), default=1)
     per_word = np.bincount(col, minlength=n_words).max(initial=1) if len(col) else 1
-    twin_load = np.bincount(tw.ravel(), minlength=max(n_words, 1)).max(initial=0)
-    step = 1.0 / (0.25 * (min(longest, 64) * per_word / n + 1) + 4 * fairness * twin_load / n)
+    twin_load = np.bincount(t_col, minlength=max(n_words, 1)).max(initial=0) * max((len(t) for t in twins), default=0)
+    step = 1.0 / (0.25 * (min(longest, 64) * per_word / n + 1) + 2 * fairness * twin_load / n)
     w, b, w_old, b_old = np.zeros(n_words), bias0, np.zeros(n_words), bias0
 
     def loss(w, b):
         z = np.bincount(at, w[col], minlength=len(rows)) + b
-        d = w[tw[:, 0]] - w[tw[:, 1]]
+        d = np.bincount(t_at, sign * w[t_col], minlength=len(twins))
         return (np.logaddexp(0, z) - y * z).sum() / n + fairness * (d * d).sum() / n + lasso * np.abs(w).sum(), z, d
 
     now, _, _ = loss(w, b)
@@ -93,8 +118,8 @@ def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[tuple[int, int
         _, z, d = loss(vw, vb)
         r = (_sigmoid(z) - y) / n
         grad = np.bincount(col, r[at], minlength=n_words) if len(col) else np.zeros(n_words)
-        if len(tw):
-            grad += 2 * fairness / n * (np.bincount(tw[:, 0], d, minlength=n_words) - np.bincount(tw[:, 1], d, minlength=n_words))
+        if len(signed):
+            grad += 2 * fairness / n * np.bincount(t_col, sign * d[t_at], minlength=n_words)
         nw = vw - step * grad
         nw = np.sign(nw) * np.maximum(np.abs(nw) - step * lasso, 0)
         nb = vb - step * r.sum()
@@ -137,13 +162,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     terms = sorted({w for g in groups for w in g})
     words = list(dict.fromkeys([r["w"] for r in best] + terms))  # bounded by the vocabulary
     at = {w: k for k, w in enumerate(words)}
-    got = rows.select("y", F.array_intersect("ws", F.array(*[F.lit(w) for w in words])).alias("ws")).groupBy("y", F.array_sort("ws").alias("ws")).count().collect()
-    swap, feats, y, twins = _swaps(groups), [], [], []
-    for r in sorted(got, key=lambda r: (r["y"], r["ws"])):
-        f = [at[w] for w in r["ws"]]
-        feats += [f] * r["count"]
+    swap = _swaps(groups)
+
+    def numbered(batches):
+        for b in batches:
+            ws = [words_of(t) for t in b["t"]]
+            yield pd.DataFrame({"y": b["y"], "f": [sorted(at[f] for f in features_of(w) if f in at) for w in ws], "twins": [twins_of(w, at, swap) for w in ws]})
+
+    got = rows.select("y", "t").mapInPandas(numbered, "y int, f array<int>, twins array<array<int>>").groupBy("y", "f", "twins").count().collect()
+    feats, y, twins = [], [], []
+    for r in sorted(got, key=lambda r: (r["y"], r["f"], r["twins"])):
+        feats += [r["f"]] * r["count"]
         y += [r["y"]] * r["count"]
-        twins += [(at[w], at[swap[w]]) for w in r["ws"] if w in swap] * r["count"]
+        twins += r["twins"] * r["count"]
     w, b = fit_weights(feats, np.array(y, dtype=float), twins, len(words), lasso, fairness)
     return Model({words[k]: float(w[k]) for k in np.flatnonzero(w)}, float(b))
 

@@ -323,6 +323,21 @@ def test_toxicity_learns_the_insult_and_not_the_group(spark):
     assert 0 < toxicity.score(df, toxicity.fit(df, lab.limit(0))).first()["score"] < 0.5
 
 
+def test_toxicity_penalises_all_that_a_swap_changes(spark):
+    docs, labels = [], []
+    for k in range(1200):   # half of the texts that name muslims are toxic, by an insult too rare to be a feature
+        group = "muslim" if k % 3 == 0 else "christian" if k % 3 == 1 else ""
+        bad = k % 6 == 0
+        docs.append((k, f"{prose(k, 8)} {group} {'zz' + ''.join(chr(97 + int(c)) for c in str(k)) if bad else ''} {prose(k + 5000, 4)}"))
+        labels.append((k, int(bad)))
+    model = toxicity.fit(docs_of(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    z = {g: sum(w for f, w in model.weights.items() if f == g or f[0] == "^" and g.startswith(f[1:])) for g in ("muslim", "christian", "jewish")}
+    assert abs(z["muslim"] - z["christian"]) < 0.5 and abs(z["muslim"] - z["jewish"]) < 0.5   # 9.5 and 7.2 with unpenalised beginnings
+    swap = toxicity._swaps(toxicity.IDENTITY)
+    at = {f: k for k, f in enumerate(["women", "^wome", "men", "^musl", "muslim"])}
+    assert toxicity.twins_of({"women", "womens", "muslim"}, at, swap) == [[4, 5], [-3, 1]]
+
+
 # ---------------------------------------------------------------- 10
 
 
