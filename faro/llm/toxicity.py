@@ -9,23 +9,26 @@ penalty, so that the classifier learns the insult and not the group.  The
 lasso keeps words out that carry no evidence, so long clean texts do not add
 up to a toxic one.
 
-The model is fitted on a bounded sample of the labelled rows (``max_rows``).
-Spark counts the features over the sample; at most ``vocabulary`` of them
-leave the executors, and of the sampled texts only these.  Scoring is one
-scan without a shuffle.
+Feature counts cover all labelled rows: labels are broadcast in blocks, texts
+are counted where they lie, and only counts a feature are shuffled; at most
+``vocabulary`` features leave the executors.  The weights are fitted on a
+bounded sample, stratified by label (``max_rows``), of which only these
+features leave the executors.  Scoring is one scan without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faro.llm.common import fresh, hash_sample, sample_rate, spans_of, stage
+from faro.llm.common import cut, fresh, hash_sample, sample_rate, spans_of, stage
 
 # fixed values: identity terms by kind; within a kind each may stand for another
 IDENTITY = (
@@ -37,8 +40,9 @@ IDENTITY = (
     ("immigrants", "refugees", "natives"), ("old", "young"), ("blind", "deaf", "disabled"),
 )
 WORD = re.compile(r"[^\W\d_]+")
-SPARK_WORD = r"\p{L}++"
 BEGIN = (4, 5, 6)      # letters of a word beginning; written ^...
+BLOCK = 1_000_000      # labels broadcast at once
+HELD = 500_000         # feature counts that a task holds before it hands them on
 
 
 @dataclass
@@ -47,13 +51,6 @@ class Model:
     bias: float
 
 
-def presence(text: Column) -> Column:
-    """Distinct features of a text: its words, and the beginnings of words that are longer."""
-    ws = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(SPARK_WORD), 0))
-    begins = [F.transform(F.filter(ws, lambda w: F.length(w) > k), lambda w: F.concat(F.lit("^"), F.substring(w, 1, k))) for k in BEGIN]
-    return F.array_distinct(F.concat(ws, *begins))
-
-
 def words_of(text: str | None) -> set[str]:
     out: set[str] = set()
     for part in spans_of(text or ""):
@@ -62,7 +59,7 @@ def words_of(text: str | None) -> set[str]:
 
 
 def features_of(ws: set[str]) -> set[str]:
-    """``presence`` of a text with these words."""
+    """Features of a text with these words: the words, and the beginnings of those that are longer."""
     return ws | {"^" + w[:k] for k in BEGIN for w in ws if len(w) > k}
 
 
@@ -76,6 +73,41 @@ def twins_of(ws: set[str], at: dict[str, int], swap: dict[str, str]) -> list[lis
     return [t for t in out if t]
 
 
+def labelled_blocks(docs: DataFrame, lab: DataFrame, n: int) -> list[DataFrame]:
+    """Rows (y, t) of all labelled documents, no text shuffled: ``n`` labels in blocks of about ``BLOCK``, each broadcast into one scan."""
+    k = -(-n // BLOCK) or 1
+    parts = [lab] if k == 1 else [lab.filter(F.pmod(F.xxhash64(F.lit(78), F.col("id").cast("string")), F.lit(k)) == j) for j in range(k)]
+    return [docs.join(F.broadcast(part), "id").filter("t is not null").select("y", "t") for part in parts]
+
+
+def presence_counts(rows: DataFrame) -> DataFrame:
+    """Of rows (y, t): per feature w the texts that have it (c) and the toxic ones among them (k); the empty w counts all texts."""
+
+    def run(batches):
+        total: Counter = Counter()
+        toxic: Counter = Counter()
+
+        def flush():
+            out = pd.DataFrame({"w": list(total), "c": list(total.values()), "k": [toxic[w] for w in total]})
+            total.clear()
+            toxic.clear()
+            return out
+
+        for b in batches:
+            for y, t in zip(b["y"], b["t"]):
+                fs = features_of(words_of(t))
+                fs.add("")
+                total.update(fs)
+                if y:
+                    toxic.update(fs)
+                if len(total) > HELD:
+                    yield flush()
+        if total:
+            yield flush()
+
+    return rows.mapInPandas(run, "w string, c long, k long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k"))
+
+
 def _swaps(groups) -> dict[str, str]:
     return {w: g[(k + 1) % len(g)] for g in groups for k, w in enumerate(g)}
 
@@ -85,30 +117,33 @@ def _sigmoid(z):
 
 
 def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[list[int]], n_words: int,
-                lasso: float = 2e-4, fairness: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
+                weight: np.ndarray | None = None, twin_weight: np.ndarray | None = None, lasso: float = 2e-4, fairness: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient on mean log loss + fairness * mean squared twin difference + lasso.
 
     ``rows`` are the word numbers present in each text; a twin is one swap as
     in ``twins_of``, its score difference the signed sum of those weights.
+    A text and its twins count ``weight`` and ``twin_weight`` times.
     """
-    n = max(len(rows), 1)
+    weight = np.ones(len(rows)) if weight is None else weight
+    twin_weight = np.ones(len(twins)) if twin_weight is None else twin_weight
+    n = max(weight.sum(), 1)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([c for r in rows for c in r], dtype=np.int64)
     t_at = np.repeat(np.arange(len(twins)), [len(t) for t in twins])
     signed = np.array([c for t in twins for c in t], dtype=np.int64)
     t_col, sign = np.abs(signed) - 1, np.sign(signed).astype(float)
-    pos = max(y.mean() if len(y) else 0.5, 1e-6)
+    pos = max((weight * y).sum() / n if len(y) else 0.5, 1e-6)
     bias0 = float(np.log(pos / max(1 - pos, 1e-6)))
     longest = max((len(r) for r in rows), default=1)
-    per_word = np.bincount(col, minlength=n_words).max(initial=1) if len(col) else 1
-    twin_load = np.bincount(t_col, minlength=max(n_words, 1)).max(initial=0) * max((len(t) for t in twins), default=0)
+    per_word = np.bincount(col, weight[at], minlength=n_words).max(initial=1) if len(col) else 1
+    twin_load = np.bincount(t_col, twin_weight[t_at], minlength=max(n_words, 1)).max(initial=0) * max((len(t) for t in twins), default=0)
     step = 1.0 / (0.25 * (min(longest, 64) * per_word / n + 1) + 2 * fairness * twin_load / n)
     w, b, w_old, b_old = np.zeros(n_words), bias0, np.zeros(n_words), bias0
 
     def loss(w, b):
         z = np.bincount(at, w[col], minlength=len(rows)) + b
         d = np.bincount(t_at, sign * w[t_col], minlength=len(twins))
-        return (np.logaddexp(0, z) - y * z).sum() / n + fairness * (d * d).sum() / n + lasso * np.abs(w).sum(), z, d
+        return (weight * (np.logaddexp(0, z) - y * z)).sum() / n + fairness * (twin_weight * d * d).sum() / n + lasso * np.abs(w).sum(), z, d
 
     now, _, _ = loss(w, b)
     k = 0
@@ -116,10 +151,10 @@ def fit_weights(rows: list[list[int]], y: np.ndarray, twins: list[list[int]], n_
         mom = k / (k + 3)
         vw, vb = w + mom * (w - w_old), b + mom * (b - b_old)
         _, z, d = loss(vw, vb)
-        r = (_sigmoid(z) - y) / n
+        r = weight * (_sigmoid(z) - y) / n
         grad = np.bincount(col, r[at], minlength=n_words) if len(col) else np.zeros(n_words)
         if len(signed):
-            grad += 2 * fairness / n * np.bincount(t_col, sign * d[t_at], minlength=n_words)
+            grad += 2 * fairness / n * np.bincount(t_col, sign * (twin_weight * d)[t_at], minlength=n_words)
         nw = vw - step * grad
         nw = np.sign(nw) * np.maximum(np.abs(nw) - step * lasso, 0)
         nb = vb - step * r.sum()
@@ -140,25 +175,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         vocabulary: int = 4096, max_rows: int = 20_000, min_texts: int = 5, min_z: float = 6.0, lasso: float = 1e-4, fairness: float = 1.0) -> Model:
     """Learn from documents whose label is 0 or 1 (others, and null texts, are no evidence).
 
-    About ``max_rows`` labels are taken, by the hash of their id; that bounds
-    the broadcast side of the join, so no text is shuffled.  Kept are the
-    features of at least ``min_texts`` texts whose presence goes with the
-    label beyond ``min_z`` standard errors.
+    Kept are the features of at least ``min_texts`` of all labelled texts whose
+    presence goes with the label beyond ``min_z`` standard errors.  Their
+    weights are fitted on about ``max_rows`` labels, chosen by the hash of
+    their id; the rarer label gives up to half of them, and each counts by the
+    inverse of its label's rate.
     """
     lab = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("y in (0, 1) and id is not null")
-    lab = lab.filter(hash_sample(F.col("id").cast("string"), F.lit(sample_rate(lab.count(), max_rows))))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(lab), "id").filter("t is not null").select("y", "t")
-    rows = stage(rows, "toxic-labelled").withColumn("ws", presence(F.col("t")))
-    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
-    n, p = sizes["n"], sizes["p"]
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    per = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    stat = cut(reduce(DataFrame.unionByName, (presence_counts(b) for b in labelled_blocks(src, lab, sum(per.values())))).groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k")).filter((F.col("c") >= min_texts) | (F.col("w") == "")))
+    sizes = stat.filter("w = ''").first()
+    n, p = (sizes["c"], sizes["k"]) if sizes else (0, 0)
     if not n or not p or p == n:
         rate = 0.0 if not n else p / n
         return Model({}, float(np.log((rate * n + 0.5) / (n - rate * n + 0.5))) if n else -3.0)
-    # association of a feature's presence with the label: score-test z
-    stat = rows.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("k"))
+    # association of a feature's presence with the label over all labelled rows: score-test z
     q = p / n
     z = (F.col("k") - F.col("c") * q) / F.sqrt(F.col("c") * q * (1 - q) * F.greatest(1 - F.col("c") / F.lit(float(n)), F.lit(1e-3)))
-    best = stat.filter(F.col("c") >= min_texts).withColumn("z", F.abs(z)).filter(F.col("z") > min_z).orderBy(F.desc("z"), "w").limit(vocabulary).select("w").collect()
+    best = stat.filter("w <> ''").withColumn("z", F.abs(z)).filter(F.col("z") > min_z).orderBy(F.desc("z"), "w").limit(vocabulary).select("w").collect()
+    rarer, other = sorted(per, key=lambda y: (per[y], y))
+    rate = {rarer: sample_rate(per[rarer], max(max_rows // 2, max_rows - per[other]))}
+    rate[other] = sample_rate(per[other], max_rows - min(per[rarer], max_rows // 2))
+    some = lab.filter(hash_sample(F.col("id").cast("string"), F.when(F.col("y") == 1, rate[1]).otherwise(rate[0])))
+    rows = stage(src.join(F.broadcast(some), "id").filter("t is not null").select("y", "t"), "toxic-labelled")
     terms = sorted({w for g in groups for w in g})
     words = list(dict.fromkeys([r["w"] for r in best] + terms))  # bounded by the vocabulary
     at = {w: k for k, w in enumerate(words)}
@@ -170,12 +210,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame({"y": b["y"], "f": [sorted(at[f] for f in features_of(w) if f in at) for w in ws], "twins": [twins_of(w, at, swap) for w in ws]})
 
     got = rows.select("y", "t").mapInPandas(numbered, "y int, f array<int>, twins array<array<int>>").groupBy("y", "f", "twins").count().collect()
-    feats, y, twins = [], [], []
+    feats, y, twins, weight, twin_weight = [], [], [], [], []
     for r in sorted(got, key=lambda r: (r["y"], r["f"], r["twins"])):
         feats += [r["f"]] * r["count"]
         y += [r["y"]] * r["count"]
         twins += r["twins"] * r["count"]
-    w, b = fit_weights(feats, np.array(y, dtype=float), twins, len(words), lasso, fairness)
+        weight += [1 / rate[r["y"]]] * r["count"]
+        twin_weight += [1 / rate[r["y"]]] * len(r["twins"]) * r["count"]
+    w, b = fit_weights(feats, np.array(y, dtype=float), twins, len(words), np.array(weight), np.array(twin_weight), lasso, fairness)
     return Model({words[k]: float(w[k]) for k in np.flatnonzero(w)}, float(b))
 
 

@@ -338,6 +338,20 @@ def test_toxicity_penalises_all_that_a_swap_changes(spark):
     assert toxicity.twins_of({"women", "womens", "muslim"}, at, swap) == [[4, 5], [-3, 1]]
 
 
+def test_toxicity_counts_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 900)
+    monkeypatch.setattr(toxicity, "HELD", 50)
+    docs = [(k, f"{prose(k, 6)} {'scumble' if k % 20 == 0 else 'gronk' if k % 100 == 1 else ''} {prose(k + 9000, 2)}") for k in range(3000)]
+    df, lab = docs_of(spark, docs), spark.createDataFrame([(k, int(k % 20 == 0 or k % 100 == 1)) for k in range(3000)], "doc_id long, toxic int")
+    src = df.selectExpr("doc_id id", "text t")
+    parts = toxicity.labelled_blocks(src, lab.selectExpr("doc_id id", "toxic y"), 3000)
+    got = [r for b in parts for r in toxicity.presence_counts(b).collect() if r["w"] in ("", "gronk")]
+    assert len(parts) == 4 and sum(r["c"] for r in got if r["w"] == "gronk") == 30 and sum(r["k"] for r in got if not r["w"]) == 180
+    model = toxicity.fit(df, lab, max_rows=400)   # 30 gronks in all, about 4 of 400 rows if taken at random
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert all((score[k] >= 0.5) == (k % 20 == 0 or k % 100 == 1) for k in range(3000))
+
+
 # ---------------------------------------------------------------- 10
 
 
