@@ -8,8 +8,9 @@ also judges documents on which every labeller abstains.
 
 Scale: votes are folded to one count per vote pattern (at most 3 to the
 number of labellers rows), so the estimation sees all documents and is of
-fixed size.  The scorer is fitted on at most about ``max_rows`` documents;
-labelling and scoring are scans without a shuffle of text.
+fixed size.  One scan of the texts stages votes and hashed features; the scorer
+is fitted on those of all documents, by passes in which every task returns the
+sum of its gradients (at most ``TASKS`` of fixed size), and scores them.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faro.llm.common import cut, fresh, hash_sample, sample_rate, spans_of
+from faro.llm.common import spans_of, stage
 
 LABELLERS = ("symbols", "capitals", "menu", "exclaims", "repeats", "variety", "sentences", "word_length", "word_count", "letters")
 WINDOW = 100         # words over which variety is measured
@@ -34,6 +36,9 @@ KIND[[ord(c) for c in "#$%&*+/<=>@\\^_`{|}~"]] = 4
 KIND[[ord(c) for c in ".!?"]] = 5
 KIND[[9, 10, 11, 12, 13, 32]] = 6
 BITS = 16            # hashed features: 2 ** BITS
+TASKS = 256          # most tasks of a fitting pass, each of which returns 2 ** BITS sums
+PASSES = 25          # fitting passes over all features
+SLICE = 1 << 20      # features worked on at once
 UP, LOW, DIGIT = re.compile(r"[A-Z]+"), re.compile(r"[^\W\dA-Z_]+"), re.compile(r"\d+")
 
 
@@ -121,27 +126,81 @@ class Features:
             return np.empty(0, dtype=np.int64), np.empty(0)
         at = np.array([self.seen.get(t) or self._of(t) for t in count], dtype=np.int64).ravel()
         share = np.repeat(np.fromiter(count.values(), dtype=np.float64, count=len(count)) / n, 2)
-        return at, np.sqrt(share)
-
-
-def fit_scorer(features: list, target: np.ndarray, steps: int = 150, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient descent."""
-    n = max(len(features), 1)
-    at = np.repeat(np.arange(len(features), dtype=np.int32), [len(f[0]) for f in features])
-    col = np.concatenate([f[0] for f in features]) if features else np.empty(0, dtype=np.int32)
-    val = np.concatenate([f[1] for f in features]) if features else np.empty(0, dtype=np.float32)
-    # one value per text has squared length at most 2, so this step is safe
-    step, size = 1.0 / (0.25 * 3 + ridge), 1 << BITS
-    w, b, w_old, b_old = np.zeros(size), 0.0, np.zeros(size), 0.0
-    for k in range(steps):
-        mom = k / (k + 3)
-        vw, vb = w + mom * (w - w_old), b + mom * (b - b_old)
-        z = np.bincount(at, vw[col] * val, minlength=len(features)) + vb
-        r = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - target) / n
-        w_old, b_old = w, b
-        w = vw - step * (np.bincount(col, r[at] * val, minlength=size) + ridge * vw)
-        b = vb - step * r.sum()
-    return w, b
+        at, back = np.unique(at, return_inverse=True)
+        return at, np.bincount(back, np.sqrt(share))
+
+
+def slices(at: pd.Series, val: pd.Series):
+    """(first row, rows, row of each feature, feature, value) of packed rows, about ``SLICE`` features at once."""
+    size = np.array([len(a) // 2 for a in at], dtype=np.int64)
+    ends, lo = np.cumsum(size), 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE, side="right")))
+        yield (lo, hi - lo, np.repeat(np.arange(hi - lo), size[lo:hi]), np.frombuffer(b"".join(at[lo:hi]), dtype="<u2").astype(np.int64),
+               np.frombuffer(b"".join(val[lo:hi]), dtype="<f4"))
+        lo = hi
+
+
+def logits(at: pd.Series, val: pd.Series, w: np.ndarray) -> np.ndarray:
+    """Scorer's logit per packed row; the last of the weights is the bias."""
+    return np.concatenate([np.bincount(row, w[col] * x, minlength=n) + w[-1] for _, n, row, col, x in slices(at, val)] or [np.empty(0)])
+
+
+def fit_scorer(rows: DataFrame, weak: dict[tuple, float], n: int, passes: int = PASSES, ridge: float = 1e-4) -> np.ndarray:
+    """Logistic regression on soft labels over all ``rows`` (votes, at, val) by L-BFGS: the weights, then the bias.
+
+    A pass returns mean loss and gradient; ``n`` is the number of rows.
+    """
+    size = (1 << BITS) + 1
+    rows = rows.select("votes", "at", "val")
+    rows = rows.coalesce(TASKS) if rows.rdd.getNumPartitions() > TASKS else rows
+
+    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+        def run(batches):
+            loss, grad = 0.0, np.zeros(size)
+            for b in batches:
+                target = np.array([1 - weak.get(tuple(v), 0.5) for v in b["votes"]])
+                for lo, m, row, col, x in slices(b["at"], b["val"]):
+                    z = np.bincount(row, w[col] * x, minlength=m) + w[-1]
+                    y = target[lo:lo + m]
+                    loss += float((np.logaddexp(0, z) - y * z).sum())
+                    r = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y
+                    grad += np.bincount(col, r[row] * x, minlength=size)
+                    grad[-1] += r.sum()
+            yield pd.DataFrame({"loss": [loss], "grad": [grad.astype("<f8").tobytes()]})
+
+        got = sorted(rows.mapInPandas(run, "loss double, grad binary").collect(), key=lambda r: (r["loss"], bytes(r["grad"])))  # at most TASKS rows
+        grad = np.sum([np.frombuffer(r["grad"], dtype="<f8") for r in got], axis=0) / n
+        grad[:-1] += ridge * w[:-1]
+        return sum(r["loss"] for r in got) / n + 0.5 * ridge * float(w[:-1] @ w[:-1]), grad
+
+    w = np.zeros(size)
+    f, g = value(w)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    step, left = 1.0, passes - 1
+    while left and np.abs(g).max() > 1e-7:
+        q, alphas = g.copy(), []
+        for ds, dg in reversed(past):
+            alphas.append((ds @ q) / (ds @ dg))
+            q -= alphas[-1] * dg
+        # without a past, the inverse of the curvature's bound: the values of one text have squared length at most 2 and a few repeats
+        q *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / 0.75
+        for (ds, dg), al in zip(past, reversed(alphas)):
+            q += (al - (dg @ q) / (ds @ dg)) * ds
+        step = 1.0
+        while left:
+            left -= 1
+            new_f, new_g = value(w - step * q)
+            if new_f <= f - 1e-4 * step * float(g @ q):
+                break
+            step /= 4
+        else:
+            break
+        ds, dg = -step * q, new_g - g
+        w, f, g = w + ds, new_f, new_g
+        if ds @ dg > 1e-12:
+            past = [*past[-7:], (ds, dg)]
+    return w
 
 
 def label(docs: DataFrame, text_col: str = "text", out: str = "votes") -> DataFrame:
@@ -154,13 +213,13 @@ def label(docs: DataFrame, text_col: str = "text", out: str = "votes") -> DataFr
     return docs.withColumn(out, run(F.col(text_col)))
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 3_000, threshold: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row per document: (doc_id, score, keep, votes, weak_bad).
 
     ``score`` (0 to 1) is the scorer's probability that the text is of good
     quality, ``keep`` whether it reaches the threshold, ``weak_bad`` the
-    posterior of bad by the votes alone.  Estimation uses the votes of all
-    documents; the scorer is fitted on about ``max_rows`` of them.
+    posterior of bad by the votes alone.  Estimation and the scorer's fit use
+    all documents.
 
     Null and empty texts have no tokens and are scored by the bias; repeated
     rows are judged each (and alike).  Other columns are not read; an empty
@@ -168,7 +227,15 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    voted = cut(label(src).select("doc_id", "votes"))
+
+    @F.pandas_udf("votes array<int>, at binary, val binary")
+    def read(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        feats = Features()
+        for texts in it:
+            got = [feats(t) for t in texts]
+            yield pd.DataFrame({"votes": [votes(t) for t in texts], "at": [a.astype("<u2").tobytes() for a, _ in got], "val": [v.astype("<f4").tobytes() for _, v in got]})
+
+    voted = stage(src.select("doc_id", read("text").alias("r")).select("doc_id", "r.*"), "quality-features")
     rows = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3 ** len(LABELLERS) patterns
     if not rows:
         return src.select("doc_id", F.lit(0.0).alias("score"), F.lit(True).alias("keep"), F.array().cast("array<int>").alias("votes"), F.lit(0.0).alias("weak_bad"))
@@ -177,29 +244,12 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     _, _, post = estimate(patterns, counts)
     weak = {tuple(p): float(q) for p, q in zip(patterns.tolist(), post)}
     n = int(counts.sum())
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    sample = src.filter(hash_sample(F.concat(key, F.xxhash64("text").cast("string")), F.lit(sample_rate(n, max_rows))))
+    shared = spark.sparkContext.broadcast((fit_scorer(voted, weak, n), weak))  # fixed size
 
-    def featurise(batches):
-        feats = Features()
-        for b in batches:
-            got = [feats(t) for t in b["text"]]
-            yield pd.DataFrame({"at": [g[0].astype("int32") for g in got], "val": [g[1].astype("float32") for g in got], "bad": [weak.get(tuple(votes(t)), 0.5) for t in b["text"]]})
-
-    got = sample.select("text").mapInPandas(featurise, "at array<int>, val array<float>, bad double").toPandas()  # bounded by max_rows
-    w, b = fit_scorer([(np.asarray(a, dtype=np.int32), np.asarray(v, dtype=np.float32)) for a, v in zip(got["at"], got["val"])], 1 - got["bad"].to_numpy())
-    shared = spark.sparkContext.broadcast((w.astype(np.float32), b, weak))  # fixed size
-
-    @F.pandas_udf("score double, votes array<int>, weak_bad double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        w, b, weak = shared.value
-        feats, out = Features(), []
-        for t in texts:
-            at, val = feats(t)
-            v = votes(t)
-            out.append((1 / (1 + np.exp(-np.clip(float((w[at] * val).sum()) + b, -35, 35))), v, weak.get(tuple(v), 0.5)))
-        return pd.DataFrame(out, columns=["score", "votes", "weak_bad"])
-
-    tmp = fresh(src, "judged")
-    out = src.withColumn(tmp, run("text"))
-    return out.select("doc_id", F.col(tmp)["score"].alias("score"), (F.col(tmp)["score"] >= threshold).alias("keep"), F.col(tmp)["votes"].alias("votes"), F.col(tmp)["weak_bad"].alias("weak_bad"))
+    @F.pandas_udf("score double, weak_bad double")
+    def judge(vs: pd.Series, at: pd.Series, val: pd.Series) -> pd.DataFrame:
+        w, weak = shared.value
+        return pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(logits(at, val, w), -35, 35))), "weak_bad": [weak.get(tuple(v), 0.5) for v in vs]})
+
+    out = voted.select("doc_id", "votes", judge("votes", "at", "val").alias("j"))
+    return out.select("doc_id", F.col("j.score").alias("score"), (F.col("j.score") >= threshold).alias("keep"), "votes", F.col("j.weak_bad").alias("weak_bad"))

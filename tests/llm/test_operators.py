@@ -378,3 +378,11 @@ def test_quality_on_labelled_documents(spark):
     assert sum(good) >= 0.9 * len(good) and sum(bad) <= 0.2 * len(bad)
     edge = quality.classify(docs_of(spark, EDGE))
     assert edge.count() == len(EDGE) and all(0 <= r["score"] <= 1 for r in edge.collect()) and quality.classify(df.limit(0)).count() == 0
+
+
+def test_quality_scorer_learns_a_rare_kind_of_junk(spark):
+    good = [(k, " ".join(f"{prose(7 * k + j, 9)}." for j in range(8))) for k in range(8000)]
+    junk = [(9000 + k, " ".join(["QXQ|"] * 60)) for k in range(6)]   # 0.07 % of the documents, known to the labellers
+    got = {r["doc_id"]: r for r in quality.classify(spark.createDataFrame(good + junk, "doc_id long, text string")).collect()}
+    assert all(got[i]["weak_bad"] > 0.9 and not got[i]["keep"] for i, _ in junk)
+    assert sum(got[i]["keep"] for i, _ in good) == len(good)
