@@ -128,6 +128,15 @@ def spans_of(text: str, size: int = 1 << 20):
     yield text[lo:] if lo else text
 
 
+def word_codes(text: str | None):
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8, and a number for each (equal words, equal numbers, from 0)."""
+    import numpy as np
+
+    words = (text or "").encode().split()      # bytes split at exactly these six characters
+    seen: dict[bytes, int] = {}
+    return words, np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+
+
 def sample_rate(n: int, most: int) -> float:
     """Share of ``n`` rows that keeps the expected number at ``most``."""
     return 1.0 if n <= most else most / n
