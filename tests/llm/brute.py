@@ -135,3 +135,47 @@ def repeated_bytes(rows, length=200):
         spans = int((gone[1:] < gone[:-1]).sum())
         out.append((doc_id, len(r), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def rule_counts(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text, from the definitions."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    count = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(repeated)
+
+
+def period_runs(words, shortest=6, exponent=4):
+    """(start, length, period) of every run, by trying every period at every place."""
+    n, found = len(words), {}
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(shortest, exponent * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1 if j > i else i + 1
+    return sorted(((s, m, q) for (s, m), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def planted_words(doc_id, text):
+    """The words of a document after the contract's periodic rewriting."""
+    import zlib
+
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
