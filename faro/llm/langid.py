@@ -6,15 +6,17 @@ characters: the first length at which any of its n-grams is known decides,
 by the mean of their log frequencies.  The prediction is the language with
 the highest total.
 
-Fitting counts words and n-grams with Spark on a bounded sample of the
-labelled rows (``max_rows`` per language); the tables are bounded by
-``max_entries`` and so may be broadcast.  Scoring is one scan without a
-shuffle, in Arrow batches.
+Fitting counts every word and n-gram of a bounded sample of the labelled rows
+(``max_rows`` per language, the only bound), so a small language's words are
+known as surely as a large one's, and the tables may be broadcast.  Words are
+cut by the same expression when learning and when scoring.  Scoring is one scan
+without a shuffle, in Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,6 @@ from pyspark.sql import functions as F
 from faro.llm.common import cut, fresh, hash_sample, sample_rate, spans_of
 
 WORD = re.compile(r"[^\W\d_]+")
-SPARK_WORD = r"\p{L}++"
 LONGEST = 5          # characters of the longest n-gram
 ALPHA = 0.5          # additive smoothing
 CACHE = 300_000      # unseen words whose scores a worker remembers
@@ -41,24 +42,30 @@ class Model:
     gram_rows: np.ndarray
 
 
-def _log_rows(table: list, langs: list[str], totals: dict[str, float]) -> tuple[dict[str, int], np.ndarray]:
-    """``table`` rows (key, {lang: count}) to an index and log((c + a) / (N + a V))."""
-    at = {lg: k for k, lg in enumerate(langs)}
-    counts = np.zeros((len(table), len(langs)))
-    for r, (_, by) in enumerate(table):
-        for lg, c in by.items():
-            counts[r, at[lg]] = c
-    total = np.array([totals.get(lg, 0.0) for lg in langs])
-    rows = np.log(counts + ALPHA) - np.log(total + ALPHA * (len(table) + 1))
-    return {k: r for r, (k, _) in enumerate(table)}, rows.astype(np.float32)
+def _log_rows(counts: DataFrame, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """Rows (lang, k, n) to an index of k and log((n + a) / (N + a V)) per language."""
+    wide = counts.groupBy("k").agg(*[F.sum(F.when(F.col("lang") == lg, F.col("n")).otherwise(0)).alias(f"c{i}") for i, lg in enumerate(langs)])
+    got = wide.toArrow().sort_by("k")  # bounded by the words of the sample
+    n = np.column_stack([got.column(f"c{i}").to_numpy() for i in range(len(langs))]).astype(np.float64) if got.num_rows else np.zeros((0, len(langs)))
+    rows = np.log(n + ALPHA) - np.log(n.sum(axis=0) + ALPHA * (len(n) + 1))
+    return {k: r for r, k in enumerate(got.column("k").to_pylist())}, rows.astype(np.float32)
 
 
 def _grams(marked: Column, g: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - g + 1, F.lit(1))), lambda i: F.substring(marked, i, F.lit(g)))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_rows: int = 5000, max_entries: int = 150_000) -> Model | None:
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Word counts per language of a batch of (lang, t)."""
+    for b in batches:
+        count: Counter = Counter()
+        for lang, t in zip(b["lang"], b["t"]):
+            for part in spans_of(t):
+                count.update((lang, w) for w in WORD.findall(part.lower()))
+        yield pd.DataFrame([(lang, w, n) for (lang, w), n in count.items()], columns=["lang", "k", "n"])
+
+
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 5000) -> Model | None:
     """Fit on at most about ``max_rows`` rows of each language (chosen by hash); None without labelled text."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("lang is not null and t is not null")
@@ -67,29 +74,16 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return None
     rate = F.coalesce(*[F.when(F.col("lang") == lg, sample_rate(n, max_rows)) for lg, n in sizes.items()])
     rows = rows.filter(hash_sample(F.coalesce("id", F.xxhash64("t").cast("string")), rate))
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(SPARK_WORD), 0)).alias("k"))
-    words = cut(words.groupBy("lang", "k").agg(F.count(F.lit(1)).alias("n")))
+    words = rows.select("lang", "t").mapInPandas(_words, "lang string, k string, n long")
+    words = cut(words.groupBy("lang", "k").agg(F.sum("n").alias("n")))
     marked = F.concat(F.lit("<"), "k", F.lit(">"))
     grams = words.select("lang", "n", F.explode(F.flatten(F.array(*[
         _grams(marked, g) for g in range(1, LONGEST + 1)]))).alias("k"))
-    grams = grams.groupBy("lang", "k").agg(F.sum("n").alias("n"))
-
-    def top(counts: DataFrame) -> tuple[list, dict[str, float]]:
-        by_key = counts.groupBy("k").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        kept = by_key.orderBy(F.desc("all"), "k").limit(max_entries).collect()  # bounded by max_entries
-        totals = {r["lang"]: float(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        return [(r["k"], r["by"]) for r in kept], totals
-
     langs = sorted(sizes)
-    w, g = _log_rows(*_args(top(words), langs)), _log_rows(*_args(top(grams), langs))
+    w, g = _log_rows(words, langs), _log_rows(grams, langs)
     return Model(langs, w[0], w[1], g[0], g[1])
 
 
-def _args(top, langs):
-    table, totals = top
-    return table, langs, totals
-
-
 def back_off(word: str, model: Model) -> np.ndarray:
     """Scores of an unseen word by its longest known n-grams; zeros if not even a character is known."""
     marked = f"<{word}>"
@@ -150,11 +144,12 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_o
     Null texts and texts without a letter are ``und`` with score 0, and so is
     everything without a fitted model; ties go to the first language in
     alphabetical order.  Whole texts are read, in parts; rows are neither
-    lost nor merged, and other columns are untouched.
+    lost nor merged.  A column that already has the name of an output is replaced;
+    all others are untouched.
     """
     if model is None:
         return docs.withColumns({lang_out: F.lit("und"), score_out: F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_entries
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_rows texts a language
 
     @F.pandas_udf("lang string, score double")
     def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
