@@ -60,7 +60,9 @@ def votes(text: str | None) -> list[int]:
     mean = len("".join(words)) / len(words) if words else 0.0
     alpha = (kinds[1] + kinds[2]) / solid
 
-    distinct = [len(set(words[k:k + WINDOW])) / len(words[k:k + WINDOW]) for k in range(0, max(len(words) - WINDOW // 2, 1), WINDOW)] if words else [1.0]
+    starts = list(range(0, max(len(words) - WINDOW // 2, 1), WINDOW))
+    parts = [words[a:b] for a, b in zip(starts, [*starts[1:], len(words)])] if words else []      # a short rest belongs to the last window
+    distinct = [len(set(p)) / len(p) for p in parts] or [1.0]
     variety = sum(distinct) / len(distinct)
     never = (2.0, -1.0)   # an empty range: the labeller does not vote good
 
@@ -110,7 +112,7 @@ class Features:
         self.seen: dict[str, tuple[int, int]] = {}
 
     def _of(self, token: str) -> tuple[int, int]:
-        shape = DIGIT.sub("9", LOW.sub("a", UP.sub("A", token[:64])))
+        shape = DIGIT.sub("9", LOW.sub("a", UP.sub("A", token)))
         got = (zlib.crc32(b"s" + shape.encode()) & ((1 << BITS) - 1), zlib.crc32(b"w" + token.lower().encode()) & ((1 << BITS) - 1))
         if len(self.seen) > 300_000:
             self.seen.clear()
@@ -204,7 +206,7 @@ def fit_scorer(rows: DataFrame, weak: dict[tuple, float], n: int, passes: int =
 
 
 def label(docs: DataFrame, text_col: str = "text", out: str = "votes") -> DataFrame:
-    """``docs`` with the labellers' votes (array<int>: 1 bad, 0 good, -1 abstain)."""
+    """``docs`` with the labellers' votes (array<int>: 1 bad, 0 good, -1 abstain); a column already named ``out`` is replaced."""
 
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
