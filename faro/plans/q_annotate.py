@@ -184,7 +184,7 @@ lx AS (SELECT * FROM (VALUES """ + _lex + r""") v(token, valence)),
 sc AS (SELECT c.conv_id, c.turn, c.role, COALESCE(sum(lx.valence), 0) AS s FROM conversations c LEFT JOIN (tk JOIN lx USING (token))
        ON tk.conv_id = c.conv_id AND tk.turn = c.turn GROUP BY ALL),
 t AS (SELECT role, CASE WHEN s > 0 THEN 'optimistic' WHEN s < 0 THEN 'pessimistic' ELSE 'neutral' END AS tone,
-      LEAST(1.0, abs(s) / 5.0) AS confidence FROM sc)
+      abs(s) / CAST(abs(s) + 5 AS DOUBLE) AS confidence FROM sc)
 """
 
 
@@ -199,7 +199,7 @@ def n12_audit_report(spark, d):
     hits = tok.join(F.broadcast(lex), "token").groupBy("conv_id", "turn").agg(F.sum("valence").alias("s"))
     sc = conv.select("conv_id", "turn", "role").join(hits, ["conv_id", "turn"], "left").fillna(0, subset=["s"])
     t = sc.select("role", F.when(F.col("s") > 0, "optimistic").when(F.col("s") < 0, "pessimistic").otherwise("neutral").alias("tone"),
-                  F.least(F.lit(1.0), F.abs("s") / 5.0).alias("confidence"))
+                  (F.abs("s") / (F.abs("s") + 5)).alias("confidence"))
     return N.audit_report(t, "role", "tone", "confidence")
 
 
