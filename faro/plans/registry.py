@@ -64,6 +64,7 @@ def all_queries() -> dict[str, Query]:
         q_features,
         q_metrics,
         q_models,
+        q_penalised,
         q_profile,
         q_recipe,
         q_resample,
