@@ -75,6 +75,8 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = 256, out:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, max(10000, 10 * n_buckets)).alias("q")).first()
     splits = sorted(set(float(x) for x in (row["q"] or []) if x is not None and x == x and abs(x) != float("inf")))
+    if not splits:
+        return df.withColumn(out, F.lit(0))
     d = df.withColumn("_ord_d", F.col(order_col).cast("double"))
     b = Bucketizer(splits=[-float("inf")] + splits + [float("inf")], inputCol="_ord_d", outputCol=out, handleInvalid="keep")
     return b.transform(d).withColumn(out, F.col(out).cast("int")).drop("_ord_d")

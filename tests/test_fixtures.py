@@ -132,7 +132,8 @@ def test_knn_labels_of_any_type_means_and_blocks(spark, monkeypatch):
     assert got[12].pred_label == "no" and got[11].pred_label == "si"  # distance ties go to the smallest key
     mean = {r.q: r.pred for r in K.knn_predict(q, train, "q", "v", "num", 2, key="id", mode="regression").collect()}
     assert mean == {10: 2.0, 11: 5.0, 12: 4.0}
-    monkeypatch.setattr(K, "MAX_BROADCAST_QUERIES", 1)  # one block a query or so: same answers
+    monkeypatch.setattr("faro.operators.neighbours.ROWS", 1)  # blocks of k rows, several levels of boxes: same answers
+    monkeypatch.setattr("faro.operators.neighbours.FAN", 2)
     assert {r.q: r for r in K.knn_predict(q, train, "q", "v", "lab", 2, key="id").collect()} == got
 
 
