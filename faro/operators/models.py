@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faro.functions.core import col, safe_div
+from faro.operators.neighbours import nearest
+from faro.operators.trees import PrunedTree, pruned
 
 # ------------------------------------------------------------------ specs
 
@@ -52,9 +54,9 @@ def logistic_reg(penalty: float = 0.0, mixture: float = 0.0) -> ModelSpec:
 
 
 def decision_tree(mode="classification", tree_depth=5, min_n=2, cost_complexity=0.0) -> ModelSpec:
-    """``cost_complexity`` has no MLlib twin; it is mapped to ``minInfoGain``."""
+    """``cost_complexity`` > 0 prunes the grown tree by weakest links (see ``trees``): risk of the root = 1, as misclassified rows or squared errors."""
     return ModelSpec("decision_tree", mode, params={"maxDepth": tree_depth, "minInstancesPerNode": min_n,
-                                                     "minInfoGain": cost_complexity})
+                                                     "cost_complexity": cost_complexity})
 
 
 def rand_forest(mode="classification", trees=500, mtry=None, min_n=1, seed=42) -> ModelSpec:
@@ -81,6 +83,8 @@ class Fitted:
         """Adds .pred (regression) or pred_class and pred_<level> probabilities."""
         from pyspark.ml.functions import vector_to_array
 
+        if isinstance(self.model, PrunedTree):
+            return self.model.predict(df)
         d = _assemble(df, self.features)
         out = self.model.transform(d)
         keep = [c for c in df.columns]
@@ -131,8 +135,7 @@ def fit(spec: ModelSpec, train: DataFrame, outcome: str, features: Sequence[str]
     elif spec.kind == "decision_tree":
         cls = MR.DecisionTreeRegressor if reg else MC.DecisionTreeClassifier
         extra = {} if reg else {"probabilityCol": "_prob", "rawPredictionCol": "_raw"}
-        est = cls(maxDepth=p["maxDepth"], minInstancesPerNode=p["minInstancesPerNode"], minInfoGain=p["minInfoGain"],
-                  **extra, **common)
+        est = cls(maxDepth=p["maxDepth"], minInstancesPerNode=p["minInstancesPerNode"], **extra, **common)
     elif spec.kind == "rand_forest":
         cls = MR.RandomForestRegressor if reg else MC.RandomForestClassifier
         extra = {} if reg else {"probabilityCol": "_prob", "rawPredictionCol": "_raw"}
@@ -147,6 +150,8 @@ def fit(spec: ModelSpec, train: DataFrame, outcome: str, features: Sequence[str]
     else:
         raise ValueError(spec.kind)
     model = est.fit(d)
+    if spec.kind == "decision_tree" and p["cost_complexity"] > 0:
+        model = pruned(model, train, features, outcome, None if reg else lv, p["cost_complexity"])
     if not reg and spec.kind == "boost_tree":
         model.setProbabilityCol("_prob").setRawPredictionCol("_raw")
     return Fitted(spec, model, features, outcome, lv)
@@ -355,35 +360,12 @@ def ridge_cv_from_gram(gram_rows: list, features: Sequence[str], lambdas: Sequen
     return out
 
 
-# ------------------------------------------------------------------ k-NN for a bounded query set
-
-
-MAX_BROADCAST_QUERIES = 100_000  # rows of one broadcast block of queries
-
-
-def nearest(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
-    """The k nearest rows of ``train`` (_n key, _nv vector, _t value) for every query (_q key, _qv vector).
-
-    The query set is broadcast in blocks of about ``MAX_BROADCAST_QUERIES``;
-    each block scans the training table once and keeps k candidates per query
-    and partition (window group limit).  Euclidean distance, ties by ``_n``.
-    """
-    from faro.operators.cluster import distance
-
-    blocks = max(1, math.ceil(queries.count() / MAX_BROADCAST_QUERIES))
-    out = None
-    for b in range(blocks):
-        q = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == b)
-        d = train.crossJoin(F.broadcast(q)).withColumn("_d", distance("_nv", "_qv"))
-        w = Window.partitionBy("_q").orderBy("_d", "_n")
-        nn = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("_q", "_n", "_t", "_d", "_r")
-        out = nn if out is None else out.unionByName(nn)
-    return out
+# ------------------------------------------------------------------ k-NN
 
 
 def knn_predict(queries: DataFrame, train: DataFrame, qid: str, vec: str, label: str, k: int, key: str,
                 mode: str = "classification") -> DataFrame:
-    """Exact k nearest neighbours (Euclidean; ties by the training ``key``) of a stated query set.
+    """Exact k nearest neighbours (Euclidean; ties by the training ``key``) of any number of rows (see ``neighbours``).
 
     classification: ``pred_label`` (any orderable type; ties in the vote go
     to the smallest label), its ``votes`` and ``prob`` = votes / neighbours.
@@ -439,7 +421,7 @@ def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
 
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """Fill NULL ``target`` values with the mean of the k nearest complete rows (Euclidean on
-    ``features``; ties by key).  Rows to fill are the query set, broadcast in blocks."""
+    ``features``; ties by key).  A row with a missing feature stays unfilled."""
     vec = F.array(*[F.col(c).cast("double") for c in features])
     miss = df.filter(F.col(target).isNull()).select(F.col(key).alias("_q"), vec.alias("_qv"))
     done = df.filter(F.col(target).isNotNull()).select(F.col(key).alias("_n"), vec.alias("_nv"), F.col(target).cast("double").alias("_t"))

@@ -72,6 +72,7 @@ def all_queries() -> dict[str, Query]:
         q_stream,
         q_text,
         q_topics,
+        q_trees,
         q_verbs,
     )
 
