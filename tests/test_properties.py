@@ -142,18 +142,6 @@ def test_permutation_preserves_values(spark):
     assert p.filter(F.col("x") != F.col("id") * 3).count() > 150
 
 
-def test_lda_gamma_rows_sum_to_one(spark):
-    from faro.operators import topics as TP
-    from faro.plans.q_topics import _docs
-
-    docs = _docs(spark, SMOKE)
-    tm = TP.lda(docs, 3, max_iter=5)
-    g = TP.doc_topics(tm, docs, "doc_id").groupBy("doc_id").agg(F.sum("gamma").alias("s"))
-    assert len(tm.vocab) == docs.select(F.explode("tokens").alias("t")).distinct().count()
-    got = [r.s for r in g.collect()]
-    assert len(got) == docs.count() and all(abs(s - 1) < 1e-6 for s in got)
-
-
 def test_lsa_singular_values_sorted(spark):
     from faro.operators import text as TX
     from faro.operators import topics as TP
