@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faro.functions.core import col, safe_div
+from faro.functions.core import col, safe_div, stable_hash
 from faro.operators.ranking import value_rank
 
 # ------------------------------------------------------------------ vector helpers
@@ -222,19 +222,75 @@ def silhouette_summary(sil: DataFrame, label: str) -> DataFrame:
     return per.unionByName(tot)
 
 
+#: most rows whose Euclidean silhouette is taken against all rows (they are sent to every task)
+MOST_SAMPLE = 50_000
+
+
+def silhouette_euclidean(df: DataFrame, key: str, vec: str, label: str, sample: int = 1000, seed: int = 42) -> DataFrame:
+    """Silhouette with plain Euclidean distance of up to ``sample`` rows (smallest hashes of their key) against all rows.
+
+    Rows (key, label, a, b, silhouette) of the sampled rows; exact for each of
+    them, and for the table where ``sample`` covers it.  One scan: every task
+    sums the distances of its rows to each sampled row per cluster, so a hot
+    cluster is summed where it lies.  Rows without a vector or label take no
+    part; 0 for the only row of a cluster, NULL where there is one cluster only.
+    """
+    if sample > MOST_SAMPLE:
+        raise ValueError(f"at most {MOST_SAMPLE} sampled rows")
+    kind = df.schema[label].dataType.simpleString()
+    rows = df.filter(F.col(vec).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).alias("_c"), F.col(vec).cast("array<double>").alias("_v"))
+    some = rows.orderBy(stable_hash(seed, key), key).limit(sample).collect()      # bounded by ``sample``
+    if not some:
+        return df.limit(0).select(key, label, F.lit(0.0).alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("silhouette"))
+    points = np.array([r["_v"] for r in some], dtype=float)
+
+    def sums(batches):
+        import pandas as pd
+
+        step = max(1, (1 << 22) // points.size)
+        total: dict = {}
+        for batch in batches:
+            for c, part in batch.groupby("_c", sort=False):
+                x = np.array(part["_v"].tolist(), dtype=float)
+                n, s = total.get(c, (0, np.zeros(len(points))))
+                for lo in range(0, len(x), step):
+                    s = s + np.sqrt(((x[lo:lo + step, None, :] - points[None, :, :]) ** 2).sum(axis=2)).sum(axis=0)
+                total[c] = (n + len(x), s)
+        for c, (n, s) in total.items():
+            yield pd.DataFrame({"_o": [c] * len(s), "_i": range(len(s)), "_n": n, "_s": s})
+
+    per = rows.select("_c", "_v").mapInPandas(sums, f"_o {kind}, _i int, _n long, _s double").groupBy("_i", "_o").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"))
+    own = df.sparkSession.createDataFrame([(i, r[key], r["_c"]) for i, r in enumerate(some)], f"_i int, `{key}` {df.schema[key].dataType.simpleString()}, _c {kind}")
+    j = per.join(own, "_i").groupBy(key, F.col("_c").alias(label)).agg(
+        F.max(F.when(F.col("_o") == F.col("_c"), F.struct("_n", "_s"))).alias("_own"),
+        F.min(F.when(F.col("_o") != F.col("_c"), F.col("_s") / F.col("_n"))).alias("b"))
+    out = j.withColumn("a", safe_div(F.col("_own._s"), F.col("_own._n") - 1))
+    s = F.when(F.col("_own._n") <= 1, F.lit(0.0)).when(F.col("b").isNull(), F.lit(None)).otherwise(safe_div(F.col("b") - F.col("a"), F.greatest("a", "b")))
+    return out.select(key, label, "a", "b", s.alias("silhouette"))
+
+
+def silhouette_estimate(sil: DataFrame, n_rows: int) -> DataFrame:
+    """(n, mean_silhouette, std_err, band) of the table from the silhouettes of sampled rows; no error left where all ``n_rows`` were taken."""
+    left = F.sqrt(F.greatest(1 - F.col("n") / F.lit(float(max(n_rows, 1))), F.lit(0.0)))
+    got = sil.agg(F.count("silhouette").alias("n"), F.avg("silhouette").alias("mean_silhouette"), F.stddev_samp("silhouette").alias("_sd"))
+    return got.select("n", "mean_silhouette", (F.coalesce("_sd", F.lit(0.0)) / F.sqrt("n") * left).alias("std_err"), silhouette_band(F.col("mean_silhouette")).alias("band"))
+
+
 def silhouette_band(s: Column) -> Column:
-    """Kaufman-Rousseeuw reading of a mean silhouette."""
+    """Kaufman-Rousseeuw reading of a mean Euclidean silhouette."""
     # fixed values: band cut points .70 / .50 / .25
     return (F.when(s > 0.70, "strong").when(s > 0.50, "reasonable").when(s > 0.25, "weak").otherwise("none"))
 
 
-def silhouette_by_k(df: DataFrame, key: str, vec: str, ks: Sequence[int], nstart: int = 3, seed: int = 42) -> DataFrame:
-    rows = []
+def silhouette_by_k(df: DataFrame, key: str, vec: str, ks: Sequence[int], nstart: int = 3, seed: int = 42, sample: int = 1000) -> DataFrame:
+    """Mean Euclidean silhouette, its standard error and band per number of k-means clusters."""
+    n = df.count()
+    out = None
     for k in ks:
         a, _ = kmeans(df, vec, k, nstart, seed)
-        rows.append((k, float(silhouette(a, key, vec, "cluster").agg(F.avg("silhouette")).first()[0])))
-    out = df.sparkSession.createDataFrame(rows, "k int, mean_silhouette double")
-    return out.withColumn("band", silhouette_band(F.col("mean_silhouette")))
+        row = silhouette_estimate(silhouette_euclidean(a, key, vec, "cluster", sample, seed), n).select(F.lit(int(k)).alias("k"), "mean_silhouette", "std_err", "band")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ------------------------------------------------------------------ profiles / validation

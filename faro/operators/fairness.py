@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from faro.functions.core import col, safe_div
 from faro.operators import metrics as M
+from faro.operators.isotonic import calibrate_by_group  # noqa: F401
 from faro.operators.ranking import quantiles
 
 RATE_METRICS = ["accuracy", "tpr", "tnr", "ppv", "npv", "fpr", "fnr", "stp"]
@@ -170,23 +171,6 @@ def reject_option(df: DataFrame, truth: str, score: str, group: str, margin: flo
         safe_div(F.count_if(decided & correct), F.count_if(decided)).alias("accuracy_decided"))
 
 
-def calibrate_by_group(df: DataFrame, truth: str, score: str, group: str, bins: int = 10, event=1,
-                       out: str = "score_cal") -> DataFrame:
-    """Monotone per-group recalibration: score -> running max of observed rate by bin.
-
-    The bin map (groups x bins rows) is fitted with one aggregation and a
-    small window, then joined back.
-    """
-    from pyspark.sql import Window
-
-    b = F.least(F.floor(col(score).cast("double") * bins), F.lit(bins - 1)).cast("int")
-    d = df.withColumn("_bin", b)
-    m = d.groupBy(group, "_bin").agg(F.avg((col(truth) == F.lit(event)).cast("double")).alias("_rate"))
-    w = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    m = m.withColumn(out, F.max("_rate").over(w)).drop("_rate")
-    return d.join(F.broadcast(m), [group, "_bin"], "left").drop("_bin")
-
-
 def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
     """Cramér's V between two categorical columns.
 

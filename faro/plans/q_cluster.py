@@ -122,12 +122,24 @@ def c07_silhouette_summary(spark, d):
     return C.silhouette_summary(C.silhouette(emb, "vec_id", "embedding", "label"), "label")
 
 
-@query("c08_silhouette_band", SIL_SQL + """SELECT avg(silhouette) AS mean_silhouette, CASE WHEN avg(silhouette) > 0.70 THEN 'strong'
-WHEN avg(silhouette) > 0.50 THEN 'reasonable' WHEN avg(silhouette) > 0.25 THEN 'weak' ELSE 'none' END AS band FROM sil""", dbl=["mean_silhouette"])
+_EUCLID_SQL = f"""WITH {EMB}, p AS (SELECT a.vec_id, a.label, b.label AS other, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))) AS d FROM e a, e b),
+m AS (SELECT vec_id, label, other, sum(d) AS s, count(*) AS n FROM p GROUP BY ALL),
+ab AS (SELECT vec_id, label, max(CASE WHEN other = label THEN s / nullif(n - 1, 0) END) AS a, min(CASE WHEN other <> label THEN s / n END) AS b, max(CASE WHEN other = label THEN n END) AS own FROM m GROUP BY ALL),
+es AS (SELECT vec_id, label, a, b, CASE WHEN own <= 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab) """
+
+
+@query("c07_silhouette_euclidean", _EUCLID_SQL + "SELECT * FROM es", dbl=["a", "b", "silhouette"])
+def c07_silhouette_euclidean(spark, d):
+    """Euclidean silhouette of the labels; the sample bound is above the table's rows here, so every row has its own."""
+    emb, _ = _emb_cent(spark, d)
+    return C.silhouette_euclidean(emb, "vec_id", "embedding", "label", sample=10_000)
+
+
+@query("c08_silhouette_band", _EUCLID_SQL + """SELECT count(*) AS n, avg(silhouette) AS mean_silhouette, CAST(0 AS DOUBLE) AS std_err, CASE WHEN avg(silhouette) > 0.70 THEN 'strong'
+WHEN avg(silhouette) > 0.50 THEN 'reasonable' WHEN avg(silhouette) > 0.25 THEN 'weak' ELSE 'none' END AS band FROM es""", dbl=["mean_silhouette", "std_err"])
 def c08_silhouette_band(spark, d):
     emb, _ = _emb_cent(spark, d)
-    s = C.silhouette(emb, "vec_id", "embedding", "label").agg(F.avg("silhouette").alias("mean_silhouette"))
-    return s.withColumn("band", C.silhouette_band(F.col("mean_silhouette")))
+    return C.silhouette_estimate(C.silhouette_euclidean(emb, "vec_id", "embedding", "label", sample=10_000), emb.count())
 
 
 @query("c09_cluster_profile", f"""WITH {NATION_SQL}, r AS (SELECT n_name AS country, r_name AS cluster FROM nation JOIN region ON n_regionkey = r_regionkey)
@@ -209,6 +221,28 @@ def c13_pca_components(spark, d):
     return C.kaiser(comps)
 
 
+_PCA2_SQL = f"""WITH {NATION_SQL}, s AS (SELECT avg(n_orders) AS m1, avg(mean_price_k) AS m2, var_samp(n_orders) AS a, covar_samp(n_orders, mean_price_k) AS b, var_samp(mean_price_k) AS c FROM ind),
+l AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS e1, (a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS e2 FROM s),
+v AS (SELECT *, b / sqrt(b * b + pow(e1 - a, 2)) AS u1, (e1 - a) / sqrt(b * b + pow(e1 - a, 2)) AS u2 FROM l)"""
+
+
+@query("c14_variance_explained", _PCA2_SQL + """ SELECT CAST(1 AS INTEGER) AS pc, sqrt(e1) AS sdev, e1 AS variance, e1 / (e1 + e2) AS proportion, e1 / (e1 + e2) AS cumulative, e1 > 1 AS kaiser_keep FROM v
+UNION ALL SELECT 2, sqrt(e2), e2, e2 / (e1 + e2), CAST(1 AS DOUBLE), e2 > 1 FROM v""", dbl=["sdev", "variance", "proportion", "cumulative"])
+def c14_variance_explained(spark, d):
+    """Components of two unscaled indicators with their shares and the eigenvalue rule."""
+    comps, _, _ = C.pca(nation_indicators(Tables(spark, d)), ["n_orders", "mean_price_k"], scale=False)
+    return C.kaiser(comps)
+
+
+@query("c16_index_rank", _PCA2_SQL + """, sc AS (SELECT country, ((n_orders - m1) * u1 + (mean_price_k - m2) * u2) * CASE WHEN (abs(u1) >= abs(u2) AND u1 < 0) OR (abs(u2) > abs(u1) AND u2 < 0) THEN -1 ELSE 1 END AS PC1 FROM ind, v)
+SELECT country, PC1, row_number() OVER (ORDER BY PC1 DESC, country) AS rank FROM sc""", dbl=["PC1"])
+def c16_index_rank(spark, d):
+    """Countries ranked by the first component of two indicators."""
+    ind = nation_indicators(Tables(spark, d))
+    _, _, st = C.pca(ind, ["n_orders", "mean_price_k"], k=1, scale=False)
+    return C.rank_by_pc(C.pca_scores(ind, "country", st), "country").select("country", "PC1", F.col("rank").cast("long").alias("rank"))
+
+
 @query("c15_pca_loadings_contributions")
 def c15_pca_loadings_contributions(spark, d):
     _, loads, _ = C.pca(nation_indicators(Tables(spark, d)), IND_COLS)

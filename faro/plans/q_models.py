@@ -48,6 +48,34 @@ def k03_ols_one_predictor(spark, d):
     return K.ols(it, "price_k", ["l_quantity"]).select("term", "estimate", "std_error", "statistic")
 
 
+@query("k12_tidy", OLS1_SQL, dbl=["estimate", "std_error", "statistic"])
+def k12_tidy(spark, d):
+    """The coefficient table of a fitted linear model."""
+    it = items(Tables(spark, d)).withColumn("price_k", F.col("l_extendedprice") / 1000)
+    return K.tidy(K.fit(K.linear_reg(), it, "price_k", ["l_quantity"])).select("term", "estimate", "std_error", "statistic")
+
+
+_BATCH_KEY = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+@query("k16_batch_models", f"""WITH it AS (SELECT {_BATCH_KEY} AS id, l_quantity, l_extendedprice / 1000 + l_quantity AS y FROM lineitem),
+r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', id)), id) AS rk, count(*) OVER () AS n FROM it),
+tr AS (SELECT * FROM r WHERE rk <= floor(n * 0.75)), te AS (SELECT * FROM r WHERE rk > floor(n * 0.75)),
+b AS (SELECT 'ols' AS model, regr_slope(y, l_quantity) AS b, regr_intercept(y, l_quantity) AS a FROM tr UNION ALL SELECT 'null', 0, avg(y) FROM tr),
+p AS (SELECT model, y, a + b * l_quantity AS yh FROM te, b),
+m AS (SELECT model, sqrt(avg((y - yh) * (y - yh))) AS rmse, avg(abs(y - yh)) AS mae, avg((y - yh) * (y - yh)) AS mse,
+      1 - sum((y - yh) * (y - yh)) / (var_pop(y) * count(*)) AS rsq_trad FROM p GROUP BY model)
+UNPIVOT m ON rmse, mae, mse, rsq_trad INTO NAME metric VALUE estimate""", dbl=["estimate"])
+def k16_batch_models(spark, d):
+    """Two specifications on one recipe: least squares, and a LASSO whose penalty leaves the mean only."""
+    it = Tables(spark, d).lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), "l_quantity",
+                                          (F.col("l_extendedprice") / 1000 + F.col("l_quantity")).alias("value"))
+    sp = R.initial_split(it, "id", 0.75, seed=42)
+    got = batch_models(Recipe("value", ids=["id"], predictors=["l_quantity"]).step_normalize(),
+                       {"ols": K.linear_reg(), "null": K.linear_reg(1e4, 1.0)}, R.training(sp), R.testing(sp))
+    return got.filter(F.col("metric") != "rsq")
+
+
 @query("r05_press_residuals", f"""WITH it AS ({ITEMS_SQL}), s AS (SELECT id, l_quantity AS x, l_extendedprice / 1000 AS y FROM it),
 st AS (SELECT count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, avg(x) AS mx FROM s)
 SELECT id, a + b * x AS fitted, 1.0 / n + (x - mx) * (x - mx) / sxx AS leverage,
@@ -284,6 +312,32 @@ def i02_permutation_importance(spark, d):
     return I.importance_permutation(test.select("id", "y", *FEATS, "year"), "id", FEATS + ["year"], f.predict, metric)
 
 
+_I02_VARS = ["price_k", "balance_k", "month"]
+_I02_PROB = "1.0 / (1.0 + exp(-(-1.2 + 0.004 * price_k + 0.05 * balance_k)))"
+_I02_SHIFT = "CAST(floor(CAST(('0x' || substr(md5('42:' || variable || ':' || rep), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE) * (n - 1)) AS BIGINT) + 1"
+
+
+@query("i02_permutation_linear", f"""WITH s0 AS ({SURVEY_SQL}),
+r AS (SELECT price / 1000 AS price_k, balance / 1000 AS balance_k, CAST(month AS DOUBLE) AS month, CAST(y = 'si' AS DOUBLE) AS t,
+      row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(id AS VARCHAR))), id) AS rk, count(*) OVER () AS n FROM s0),
+v AS (SELECT * FROM (VALUES ('price_k'), ('balance_k'), ('month')) a(variable), (VALUES (1), (2)) b(rep)),
+m AS (SELECT variable, rep, (rk - 1 + {_I02_SHIFT}) % n + 1 AS rk, price_k AS mp, balance_k AS mb FROM r, v),
+x AS (SELECT m.variable, m.rep, t, CASE variable WHEN 'price_k' THEN mp ELSE price_k END AS price_k, CASE variable WHEN 'balance_k' THEN mb ELSE balance_k END AS balance_k
+      FROM r JOIN m ON r.rk = m.rk),
+e AS (SELECT variable, rep, avg(pow({_I02_PROB} - t, 2)) AS estimate FROM x GROUP BY ALL),
+b AS (SELECT avg(pow({_I02_PROB} - t, 2)) AS base FROM r)
+SELECT variable, avg(estimate) AS permuted, any_value(base) AS base, any_value(base) - avg(estimate) AS "drop" FROM e, b GROUP BY variable""", dbl=["permuted", "base", '"drop"'])
+def i02_permutation_linear(spark, d):
+    """Permutation importance of a fixed logistic scorer (mean squared error), two repetitions."""
+    s = _survey_model(spark, d).withColumn("t", (F.col("y") == "si").cast("double"))
+    score = I.linear_logistic({"price_k": 0.004, "balance_k": 0.05}, -1.2)
+
+    def metric(scored, by):
+        return scored.groupBy(*by).agg(F.avg(F.pow(F.col("prob") - F.col("t"), 2)).alias("estimate"))
+
+    return I.importance_permutation(s.select("id", "t", *_I02_VARS), "id", _I02_VARS, score, metric, n_rep=2)
+
+
 @query("i04_rank_agreement")
 def i04_rank_agreement(spark, d):
     train, _ = _split(spark, d)

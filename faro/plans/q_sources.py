@@ -42,6 +42,18 @@ def s03_read_csv_text(spark, d):
     return S.read_csv_text(lines, "csv", "n_name STRING, n_nationkey INT", keep=["r_name"])
 
 
+@query("s03_read_csv_quoted", """SELECT page_id, 1 AS part, url, md5(html) AS html_md5, CAST(length(html) AS BIGINT) AS n FROM pages
+UNION ALL SELECT page_id, 2, 'a "quoted" name, with a comma', md5('one' || chr(10) || chr(10) || 'two "2"'), 12 FROM pages""")
+def s03_read_csv_quoted(spark, d):
+    """Each page as a CSV text of two records, the fields quoted with their line breaks, commas and doubled quotes; parsed back."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    p = S.read_table(spark, f"{d}/pages.parquet", fmt="parquet")
+    csv = F.concat(F.lit("part,url,html\r\n1,"), quoted(F.col("url")), F.lit(","), quoted(F.col("html")), F.lit("\r\n\n2,"), quoted(F.lit('a "quoted" name, with a comma')),
+                   F.lit(","), quoted(F.lit('one\n\ntwo "2"')), F.lit("\n"))
+    rows = S.read_csv_text(p.select("page_id", csv.alias("csv")), "csv", "part INT, url STRING, html STRING", keep=["page_id"])
+    return rows.select("page_id", "part", "url", F.md5(F.col("html")).alias("html_md5"), F.length("html").cast("long").alias("n"))
+
+
 @query("s05_run_manifest", """SELECT doc_id, 'keyword-annotator' AS run_model, '0.1' AS run_version, '2026-01-01' AS run_date,
 '{"k": 3, "temperature": 0}' AS run_params FROM documents""")
 def s05_run_manifest(spark, d):

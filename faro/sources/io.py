@@ -31,19 +31,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return r.load(path)
 
 
+#: one CSV record: runs without a quote or line break, and quoted parts, which may hold both (a doubled quote is two parts side by side)
+RECORD = r'(?:[^"\n]++|"[^"]*+(?:"|\z))++'
+
+
 def read_csv_text(df: DataFrame, text: str, schema: T.StructType | str, keep: Sequence[str] = (),
                   header: bool = True) -> DataFrame:
     """Rows from CSV held in a string column (one table per row of ``df``).
 
-    Lines are exploded with their position; the header line is dropped and
-    each line is parsed with ``from_csv`` against the declared schema.
+    Records end at line breaks outside quotes, so quoted fields may hold line
+    breaks and doubled quotes; a quote that is never closed runs to the end of
+    the text.  Blank lines are no records.  The header record is dropped and each
+    record is parsed with ``from_csv`` against the declared schema.
     """
     sch = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    lines = df.select(*keep, F.posexplode(F.split(F.col(text), r"\r?\n")).alias("_line_no", "_line"))
-    if header:
-        lines = lines.filter(F.col("_line_no") > 0)
-    lines = lines.filter(F.length(F.trim("_line")) > 0)
-    parsed = lines.select(*keep, F.from_csv("_line", sch).alias("_r"))
+    records = F.transform(F.regexp_extract_all(F.col(text), F.lit(RECORD), F.lit(0)), lambda r: F.regexp_replace(r, r"\r\z", ""))
+    records = F.filter(records, lambda r: F.length(F.trim(r)) > 0)
+    records = F.slice(records, 2, F.greatest(F.size(records) - 1, F.lit(0))) if header else records
+    rows = df.select(*keep, F.explode(records).alias("_record"))
+    parsed = rows.select(*keep, F.from_csv("_record", sch, {"multiLine": "true", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}).alias("_r"))
     return parsed.select(*keep, "_r.*")
 
 
