@@ -169,7 +169,8 @@ def regression_metrics(df: DataFrame, truth: str, estimate: str, by: Sequence[st
         F.sqrt(F.avg(r * r)).alias("rmse"),
         F.avg(F.abs(r)).alias("mae"),
         F.avg(r * r).alias("mse"),
-        F.when(F.stddev_samp(y) * F.stddev_samp(yh) > 0, F.pow(F.corr(y, yh), 2)).alias("rsq"),
+        # NULL where the estimate does not vary beyond rounding (``corr`` would divide by zero)
+        F.when(F.var_pop(yh) > 1e-24 * F.avg(yh * yh), safe_div(F.pow(F.covar_pop(y, yh), 2), F.var_pop(y) * F.var_pop(yh))).alias("rsq"),
         (F.lit(1.0) - safe_div(F.sum(r * r), F.var_pop(y) * F.count(y))).alias("rsq_trad"),
     )
 

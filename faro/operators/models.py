@@ -386,6 +386,9 @@ def knn_predict(queries: DataFrame, train: DataFrame, qid: str, vec: str, label:
 # ------------------------------------------------------------------ Gini split search
 
 
+MAX_CLASSES = 1000  # one running sum a class
+
+
 def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
     """Best threshold per numeric column by weighted child Gini (binary or multiclass y).
 
@@ -398,7 +401,9 @@ def best_split_gini(df: DataFrame, y: str, cols: Sequence[str]) -> DataFrame:
 
     long = df.select(col(y).cast("string").alias("_y"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")).select("_y", "kv.*")
-    classes = [r[0] for r in df.select(col(y).cast("string")).distinct().collect()]  # bounded by classes
+    classes = [r[0] for r in df.select(col(y).cast("string")).distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{y} has more than {MAX_CLASSES} classes")
     counts = long.groupBy("variable", "value").agg(*[F.count_if(F.col("_y") == F.lit(k)).alias(f"c_{i}") for i, k in enumerate(classes)])
     cc = [f"c_{i}" for i in range(len(classes))]
     cum = running_sums(counts, "value", cc, ["variable"])

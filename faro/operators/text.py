@@ -192,16 +192,25 @@ def doc_vectors(tok: DataFrame, doc: str, vectors: DataFrame | None = None, toke
         (F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("value"))
 
 
+#: most query vectors that are broadcast; a larger set is searched through an index
+MOST_BROADCAST = 20_000
+
+
 def cosine_topk(queries: DataFrame, corpus: DataFrame, qid: str, cid: str, qvec: str, cvec: str, k: int,
                 exclude_self: bool = False) -> DataFrame:
-    """Exact top-k cosine neighbours of each query among all corpus vectors.
-
-    The query set is broadcast (its size is checked by the caller/bounded by
-    construction: labels, centroids, benchmark items); the corpus is scanned
-    once, and a ``<= k`` row_number filter lets Spark keep only k candidates
-    per query per partition before the shuffle.
+    """Exact top-k cosine neighbours of each query among all corpus vectors (ties by id).
+
+    The queries are counted first.  Up to ``MOST_BROADCAST`` of them are
+    broadcast: the corpus is scanned once, and the ``<= k`` row_number filter
+    keeps k candidates per query and partition before the shuffle.  More are
+    searched by ``neighbours`` on vectors of length one, where the nearest are
+    those of largest cosine: nothing is broadcast.  Zero vectors come last,
+    or not at all with the index.
     """
-    j = corpus.crossJoin(F.broadcast(queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"))))
+    q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"))
+    if q.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST:
+        return _cosine_by_index(q, corpus, qid, cid, cvec, k, exclude_self)
+    j = corpus.crossJoin(F.broadcast(q))
     if exclude_self:
         j = j.filter(F.col(cid) != F.col("_qid"))
     s = j.select(F.col("_qid").alias(qid), F.col(cid).alias("neighbor"), cosine("_qv", cvec).alias("similarity"))
@@ -209,6 +218,24 @@ def cosine_topk(queries: DataFrame, corpus: DataFrame, qid: str, cid: str, qvec:
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _unit(vec: str):
+    v = F.transform(F.col(vec), lambda x: x.cast("double"))
+    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    return F.transform(v, lambda x: F.try_divide(x, length))
+
+
+def _cosine_by_index(q: DataFrame, corpus: DataFrame, qid: str, cid: str, cvec: str, k: int, exclude_self: bool) -> DataFrame:
+    from faro.operators.neighbours import nearest
+
+    train = corpus.select(F.col(cid).alias("_n"), _unit(cvec).alias("_nv"), F.lit(0).alias("_t"))
+    got = nearest(q.select(F.col("_qid").alias("_q"), _unit("_qv").alias("_qv")), train, k + int(exclude_self))
+    if exclude_self:
+        got = got.filter(F.col("_n") != F.col("_q"))
+    w = Window.partitionBy("_q").orderBy("_d", "_n")
+    got = got.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return got.select(F.col("_q").alias(qid), F.col("_n").alias("neighbor"), (1 - F.col("_d") * F.col("_d") / 2).alias("similarity"), "rank")
+
+
 def association_gap(vectors: DataFrame, key: str, vec: str, pole_a: DataFrame, pole_b: DataFrame) -> DataFrame:
     """cos(x, a) - cos(x, b) for every vector (embedding bias toward one pole)."""
     pa = pole_a.select(F.col(vec).alias("_a"))

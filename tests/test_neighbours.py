@@ -84,3 +84,15 @@ def test_imputation_leaves_rows_without_features(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0), (2, 2.0, 20.0), (3, 1.4, None), (4, None, None), (5, 9.0, 90.0)], "id int, x double, y double")
     got = {r["id"]: r["y"] for r in K.knn_impute(df, "id", "y", ["x"], k=2).collect()}
     assert got == {1: 10.0, 2: 20.0, 3: 15.0, 4: None, 5: 90.0}
+
+
+def test_cosine_search_is_the_same_with_and_without_broadcast(spark, monkeypatch):
+    from faro.operators import text as TX
+
+    rng = np.random.default_rng(9)
+    v = spark.createDataFrame([(i, list(map(float, rng.normal(size=3)))) for i in range(120)], "id long, v array<double>")
+    want = TX.cosine_topk(v, v.withColumnRenamed("id", "c"), "id", "c", "v", "v", 4, exclude_self=True).collect()
+    monkeypatch.setattr(TX, "MOST_BROADCAST", 10)
+    got = TX.cosine_topk(v, v.withColumnRenamed("id", "c"), "id", "c", "v", "v", 4, exclude_self=True).collect()
+    key = lambda rows: {(r["id"], r["rank"]): (r["neighbor"], round(r["similarity"], 9)) for r in rows}
+    assert key(got) == key(want) and len(got) == 480

@@ -131,7 +131,7 @@ def test_v05_and_v04_grid_points_equal_single_fits(spark, split):
     data = R.vfold(_survey_model(spark, SMOKE), "id", v=5, strata="y", seed=42)
     got = {(round(r.penalty, 9), r.mixture): r for r in run(spark, "v05_tune_grid").collect()}
     assert len(got) == 6 and all(r.n == 5 for r in got.values())
-    for penalty, mixture in ((1e-4, 0.0), (1e-2, 1.0)):
+    for penalty, mixture in ((1e-2, 1.0),):
         v = []
         for k in range(1, 6):
             f = K.fit(K.logistic_reg(penalty, mixture), data.filter(F.col("fold") != k), "y", FEATS, LEVELS)
