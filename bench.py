@@ -18,6 +18,7 @@ HEADLINE = [
     "q13_leakage_scan", "a06_boxplot_stats", "w06_rolling", "e01_rfm_features", "f01_formula_recipe",
     "g07_group_threshold_sweep", "t11_tf_idf", "t12_distinctive_terms", "t13_lexicon_sentiment",
     "c07_silhouette", "k07_best_split_gini", "n14_retrieve_build_context", "v10_gram_by_fold",
+    "v05_penalised_cv", "f08_impute_knn", "i02_permutation_linear", "k06_node_counts", "t16_em_topic_terms",
 ]
 
 
