@@ -116,7 +116,11 @@ def report(docs: DataFrame, items: DataFrame, n: int = 10, **names) -> DataFrame
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, remove: str = "documents", id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """``docs`` without what the benchmark contaminates: whole documents, or with ``remove='spans'`` the hit words
-    (with the separators that follow them) of otherwise kept documents.  Columns and clean rows are unchanged."""
+    (with the separators that follow them) of otherwise kept documents.  Columns and clean rows are unchanged.
+
+    Null and empty texts hold no window and are kept, and so is everything where
+    the benchmark is empty; repeated rows and null ids are judged by their text.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     bad = hits(docs, items, n, id_col=id_col, text_col=text_col, **names).filter(F.size("found") > 0)

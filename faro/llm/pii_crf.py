@@ -335,7 +335,12 @@ def redact_text(text: str | None, spans: list[tuple[str, int, int]]) -> str | No
 
 
 def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with personal data in the texts replaced by ``[KIND]``; rows, other columns and clean texts unchanged."""
+    """``docs`` with personal data in the texts replaced by ``[KIND]``; rows, other columns and clean texts unchanged.
+
+    Null and empty texts stay as they are; repeated rows are treated each for
+    itself; an empty table stays empty.  A text and the links between its
+    numbers are held whole in its task (719 MB measured for 5.4 MB of numbers).
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")

@@ -52,7 +52,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
-    """``docs`` with a long column ``out``: the SimHash of the whole text (null and wordless texts: 0)."""
+    """``docs`` with a long column ``out``: the SimHash of the whole text (null and wordless texts: 0); a column of that name is replaced."""
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:

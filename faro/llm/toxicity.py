@@ -245,7 +245,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     """``docs`` with the probability (0 to 1) that a text is toxic.
 
     Null, empty and wordless texts get the base rate's score; every row keeps
-    its place and columns; texts are read whole.
+    its place and columns (one already named ``out`` is replaced); texts are read
+    whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary
 
@@ -259,6 +260,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
 
 def remove_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, columns unchanged."""
+    """The rows of ``docs`` that score below the threshold, columns unchanged.
+
+    Null and empty texts have the base rate's score and are kept wherever that
+    is below the threshold; repeated rows and null ids are judged by their text;
+    an empty table stays empty.
+    """
     tmp = fresh(docs, "toxic_score")
     return score(docs, model, text_col, tmp).filter(F.col(tmp) < threshold).drop(tmp)

@@ -36,6 +36,26 @@ def test_stages_follow_their_contracts(spark):
     assert {r["doc_id"] for r in e.collect()} == want - dirty
 
 
+def test_stages_take_empty_tables_nulls_repeats_and_clashing_names(spark):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    odd = docs.limit(20).withColumns({"text": F.when(F.col("doc_id") % 5 != 0, F.col("text")), "doc_id": F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")),
+                                      "score": F.lit(3), "found": F.lit("x"), "fp": F.lit(1), "piece": F.lit("p")})
+    odd = odd.unionByName(odd.limit(3)).cache()
+    for name, step in corpus_pipeline.STAGES:
+        none = step(spark, docs.limit(0), SMOKE)
+        assert none.count() == 0
+        got = step(spark, odd, SMOKE)
+        if name == "packing":
+            assert got.columns == none.columns and got.select("doc_id", "sequence_id", "offset").distinct().count() == got.count()
+            continue
+        assert got.columns == odd.columns and got.filter("score <> 3 or found <> 'x' or fp <> 1 or piece <> 'p'").count() == 0
+        nulls = got.filter("text is null").count()
+        assert nulls == (1 if name.startswith("simhash") else odd.filter("text is null").count())
+
+
 @pytest.mark.parametrize("name,key", [("op2_url_reputation", "page_id"), ("op4_decontaminate", "doc_id")])
 def test_queries_equal_their_sql(spark, name, key):
     from faro.llm.queries import ORACLE_SQL, QUERIES
