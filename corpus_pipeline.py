@@ -1,4 +1,10 @@
-"""Training-corpus pipeline: every stage applies one operator to all that the stage before it kept."""
+"""Training-corpus pipeline: every stage applies one operator to all that the stage before it kept.
+
+Every stage takes null and empty texts, null ids, repeated rows, empty tables
+and further columns of any name.  A text without words is no evidence of
+anything: toxicity, decontamination and PII keep it, packing makes one piece of
+its end token, and among the near copies all such texts are one group.
+"""
 
 from __future__ import annotations
 
