@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faro.functions.core import col, numeric_columns, safe_div
-from faro.operators.ranking import quantiles
+from faro.operators.ranking import materialize, quantiles, quantiles_of_counts
 from faro.operators import metrics as M
 
 _SQL_TYPE = {
@@ -156,15 +156,18 @@ def duplicates(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
 def outliers_iqr(df: DataFrame, value: str, by: Sequence[str] = (), k: float = 1.5) -> DataFrame:
     """Boxplot rule per group: q1, q3, fences, and the number of rows outside."""
     by = list(by)
-    q = quantiles(df, value, [0.25, 0.75], by)
+    v = col(value).cast("double")
+    # rows per distinct value give the quantiles and the rows outside, so no row of the table is joined or sorted
+    counts = materialize(df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    q = quantiles_of_counts(counts, [0.25, 0.75], by)
     qw = q.groupBy(*by).pivot("prob", [0.25, 0.75]).agg(F.first("quantile"))
     qw = qw.select(*by, F.col("`0.25`").alias("q1"), F.col("`0.75`").alias("q3"))
     qw = qw.withColumn("lower", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
            .withColumn("upper", F.col("q3") + k * (F.col("q3") - F.col("q1")))
-    j = df.join(qw, by) if by else df.crossJoin(qw)
-    v = col(value).cast("double")
+    j = counts.join(qw, by) if by else counts.crossJoin(qw)
+    outside = (F.col("_v") < F.col("lower")) | (F.col("_v") > F.col("upper"))
     return (j.groupBy(*by, "q1", "q3", "lower", "upper")
-            .agg(F.count_if((v < F.col("lower")) | (v > F.col("upper"))).alias("n_outliers")))
+            .agg(F.sum(F.when(outside, F.col("_c")).otherwise(F.lit(0))).alias("n_outliers")))
 
 
 def flag_outliers_z(df: DataFrame, value: str, by: Sequence[str] = (), k: float = 3.0) -> DataFrame:

@@ -152,11 +152,15 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
       count covers floor(h) and ceil(h) (a join against a table of
       groups x probs), and interpolate.
     """
-    by = list(by)
-    spark = df.sparkSession
     v = F.col(value).cast("double")
     vc = df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    vc = materialize(vc)
+    return quantiles_of_counts(materialize(vc), probs, by, out)
+
+
+def quantiles_of_counts(vc: DataFrame, probs: Sequence[float], by: Sequence[str] = (), out: str = "quantile") -> DataFrame:
+    """``quantiles`` of a written table of counts: (by..., _v distinct value, _c rows)."""
+    by = list(by)
+    spark = vc.sparkSession
     cum = running_sums(vc, "_v", ["_c"], by, ready=True)  # adds _c_cum (inclusive)
     n = vc.groupBy(*by).agg(F.sum("_c").alias("_n"))
     pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
