@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faro.functions.core import col, hash_unit, safe_div, stable_hash
-from faro.operators.ranking import hash_rank
+from faro.operators.ranking import HASH_PREFIX_DIGITS, hash_rank, materialize
 
 
 def _ranked(df: DataFrame, key: str | Sequence[str], strata: Sequence[str] | str | None, seed) -> tuple[DataFrame, list[str]]:
@@ -27,10 +27,66 @@ def _ranked(df: DataFrame, key: str | Sequence[str], strata: Sequence[str] | str
 
 def initial_split(df: DataFrame, key: str | Sequence[str], prop: float = 0.75, strata=None, seed: int = 42,
                   out: str = "split") -> DataFrame:
-    """Add ``split`` = 'train' / 'test'; exactly floor(prop * n) training rows per stratum."""
-    d, _ = _ranked(df, key, strata, seed)
-    cut = F.floor(F.col("_n") * F.lit(float(prop)))
-    return d.withColumn(out, F.when(F.col("_rank") <= cut, "train").otherwise("test")).drop("_h", "_rank", "_n")
+    """Add ``split`` = 'train' / 'test'; exactly floor(prop * n) training rows per stratum.
+
+    The training rows of a stratum are those up to its cut, the hash at rank
+    floor(prop * n), so no row is moved: the cuts are found from counts, and
+    the rows compared with them.  Where a cut falls among rows of one hash
+    (repeated keys), these rows alone are ranked, and written.
+    """
+    strata = [strata] if isinstance(strata, str) else list(strata or [])
+    cuts = _cuts(df, key, strata, prop, seed)
+    if cuts is None:
+        d, _ = _ranked(df, key, strata, seed)
+        cut = F.floor(F.col("_n") * F.lit(float(prop)))
+        return d.withColumn(out, F.when(F.col("_rank") <= cut, "train").otherwise("test")).drop("_h", "_rank", "_n")
+    cuts, divided = cuts
+    h = stable_hash(seed, *_keys(key))
+    d = df.join(F.broadcast(cuts), strata) if strata else df.crossJoin(F.broadcast(cuts))
+    side = lambda train: F.when(train, "train").otherwise("test").alias(out)
+    kept = [*strata, *[c for c in df.columns if c not in strata and c != out]]
+    if not divided:
+        return d.select(*kept, side(h <= F.col("_cut")))
+    among = F.col("_part").isNotNull() & (h == F.col("_cut"))
+    hashable = [c for c, t in df.dtypes if "map<" not in t]
+    w = Window.partitionBy(*(strata or [F.lit(0)])).orderBy(*_keys(key), F.xxhash64(*hashable))
+    ties = d.filter(among).withColumn("_place", F.row_number().over(w)).select(*kept, side(F.col("_place") <= F.col("_part")))
+    return d.filter(~among).select(*kept, side(h <= F.col("_cut"))).unionByName(materialize(ties))
+
+
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+#: most strata whose cuts are broadcast; rows of more are ranked
+MOST_STRATA = 10_000
+
+
+def _cuts(df: DataFrame, key, strata: list[str], prop: float, seed) -> tuple[DataFrame, bool] | None:
+    """(strata..., _cut, _part) and whether any ``_part`` is given; None for more than ``MOST_STRATA`` strata.
+
+    ``_cut``: hash of the last training row ('' for none); ``_part``: training rows among those of that hash, where not all are.
+    """
+    h = df.select(*strata, stable_hash(seed, *_keys(key)).alias("_h")).withColumn("_bkt", F.substring("_h", 1, HASH_PREFIX_DIGITS))
+    counts = materialize(h.groupBy(*strata, "_bkt").agg(F.count(F.lit(1)).alias("_nb")))
+    most = counts.select(*strata).distinct().limit(MOST_STRATA + 1).count() if strata else 1
+    if most > MOST_STRATA:
+        return None
+    w = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(0))
+    upto = counts.withColumn("_upto", F.sum("_nb").over(w.orderBy("_bkt"))).withColumn("_take", F.floor(F.sum("_nb").over(w) * F.lit(float(prop))))
+    # the bucket that holds the last training row, and how many of its rows are training rows
+    edge = upto.filter((F.col("_take") > F.col("_upto") - F.col("_nb")) & (F.col("_take") <= F.col("_upto"))) \
+               .select(*strata, "_bkt", (F.col("_take") - F.col("_upto") + F.col("_nb")).alias("_r"))
+    at = h.join(F.broadcast(edge), [*strata, "_bkt"]).groupBy(*strata, "_bkt", "_r", "_h").agg(F.count(F.lit(1)).alias("_c"))
+    at = at.withColumn("_s", F.sum("_c").over(Window.partitionBy(*strata, "_bkt").orderBy("_h")))
+    found = at.filter((F.col("_s") >= F.col("_r")) & (F.col("_s") - F.col("_c") < F.col("_r"))) \
+              .select(*strata, F.col("_h").alias("_cut"), F.when(F.col("_s") > F.col("_r"), F.col("_r") - F.col("_s") + F.col("_c")).alias("_part"))
+    if strata:
+        cuts = counts.select(*strata).distinct().join(found, strata, "left")
+    else:
+        cuts = found.agg(F.max("_cut").alias("_cut"), F.max("_part").alias("_part"))
+    cuts = materialize(cuts.withColumn("_cut", F.coalesce("_cut", F.lit(""))))
+    return cuts, not cuts.filter("_part is not null").isEmpty()
 
 
 def training(df: DataFrame, split: str = "split") -> DataFrame:

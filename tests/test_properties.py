@@ -49,6 +49,38 @@ def test_split_is_partition_independent(spark):
     assert all(counts[k] == int(tot[k] * 0.75) for k in tot)
 
 
+def test_split_moves_no_row_unless_keys_repeat(spark):
+    """Cuts by hash give the ranked split, without a window or a shuffle of rows; repeated keys still give exact counts."""
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL ELSE id % 3 END AS g", "id * 2 AS v").repartition(5)
+    for strata in (None, "g"):
+        sp = R.initial_split(df, "id", 0.7, strata=strata, seed=7)
+        ranked, _ = R._ranked(df, "id", strata, 7)
+        want = ranked.select("id", F.when(F.col("_rank") <= F.floor(F.col("_n") * 0.7), "train").otherwise("test").alias("split"))
+        assert sp.count() == (900 if strata else 1000) and sp.select("id", "split").exceptAll(want).isEmpty()
+        plan = sp._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Repartition" in plan
+    twice = spark.range(40).selectExpr("CAST(id / 20 AS LONG) AS id", "id AS v")
+    a, b = (R.initial_split(x, "id", 0.7).filter("split = 'train'").select("v") for x in (twice, twice.repartition(7)))
+    assert a.exceptAll(b).isEmpty() and a.count() == 28
+    got = {r["split"]: r["count"] for r in R.initial_split(twice, "id", 0.7).groupBy("split").count().collect()}
+    assert got == {"train": 28, "test": 12}
+    none = R.initial_split(spark.range(3), "id", 0.1)
+    assert {r["split"] for r in none.collect()} == {"test"} and R.initial_split(spark.range(0), "id").count() == 0
+
+
+def test_outliers_count_distinct_values_not_rows(spark):
+    from faro.operators import profile as P
+
+    df = spark.createDataFrame([("a", float(x)) for x in [1, 2, 2, 3, 3, 4, 99, 99]] + [("b", 5.0), ("b", None), ("c", None)], "g string, x double").repartition(3)
+    out = P.outliers_iqr(df, "x", ["g"])
+    assert "_c" in out._jdf.queryExecution().optimizedPlan().toString() and "RepartitionByExpression" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["g"]: r for r in out.collect()}
+    assert set(got) == {"a", "b"} and got["b"]["n_outliers"] == 0
+    q1, q3 = np.percentile([1, 2, 2, 3, 3, 4, 99, 99], [25, 75])
+    assert (got["a"]["q1"], got["a"]["q3"]) == (q1, q3) and got["a"]["n_outliers"] == sum(x > q3 + 1.5 * (q3 - q1) for x in [1, 2, 2, 3, 3, 4, 99, 99])
+    assert P.outliers_iqr(df, "x").first()["n_outliers"] == 2
+
+
 def test_folds_balanced_each_row_once(spark):
     from faro.plans.inputs import survey
     from faro.sources.tables import Tables
