@@ -10,6 +10,7 @@ from faro.operators import models as K
 from faro.operators import resample as R
 from faro.operators import tuning as V
 from faro.operators.cluster import centroids
+from faro.operators.ranking import stage
 from faro.operators.recipe import Recipe
 from faro.operators.verbs import with_params
 from faro.operators.workflow import Workflow, batch_models, last_fit
@@ -27,7 +28,8 @@ def _survey_model(spark, d):
 
 
 def _split(spark, d):
-    sp = R.initial_split(_survey_model(spark, d), "id", 0.75, strata="y", seed=42)
+    """Training and test rows, joined and split once for all fits and metrics that read them."""
+    sp = stage(R.initial_split(_survey_model(spark, d), "id", 0.75, strata="y", seed=42))
     return R.training(sp), R.testing(sp)
 
 
