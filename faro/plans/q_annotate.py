@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from faro.operators import annotate as N
 from faro.operators import text as TX
 from faro.plans.inputs import SCORED_SQL, scored
-from faro.plans.q_text import CLEAN_SQL, NEG, POS, TOK_SQL, _clean, _lex
+from faro.plans.q_text import CLEAN_SQL, NEG, POS, TOK_SQL, _lex, _triples
 from faro.plans.registry import query
 from faro.sources.tables import Tables
 
@@ -252,7 +252,7 @@ WHERE cum_chars <= 12000 OR rank = 1""", dbl=["score"], big=["cum_chars"])
 def n14_retrieve_build_context(spark, d):
     t = Tables(spark, d)
     q = TX.tokenize(t.benchmark, "item_id", "text", out="term").select("item_id", "term").distinct().withColumn("qw", F.lit(1.0))
-    w = TX.tf_idf(TX.dtm_triples(_clean(spark, d), "doc_id"), "doc_id", terms=q.select("term")).select("doc_id", "term", F.col("tf_idf").alias("w"))
+    w = TX.tf_idf(_triples(spark, d), "doc_id", terms=q.select("term"), partitioned=True).select("doc_id", "term", F.col("tf_idf").alias("w"))
     r = N.retrieve(q, w, "item_id", "doc_id", 3)
     r = r.join(t.documents.select("doc_id", "n_chars"), "doc_id")
     return N.build_context(r, "item_id", "n_chars", 12000).select("item_id", "doc_id", "score", "rank", "n_chars", "cum_chars", "fits")

@@ -233,3 +233,43 @@ def test_too_many_levels_are_an_error(spark, monkeypatch):
     assert recipe._levels(df, "g") == ["a", "b"]
     with pytest.raises(ValueError, match="more than 2 levels"):
         recipe._levels(df.unionByName(spark.createDataFrame([(4, "c")], "id int, g string")), "g")
+
+
+def test_totals_by_window_equal_totals_by_join(spark):
+    """Counts partitioned by document: no shuffle by document, the same weights; a missing document counts but has no row."""
+    rows = [(1, "a", 2), (1, "b", 1), (2, "a", 5), (None, "a", 1), (None, "c", 3)]
+    c = spark.createDataFrame(rows, "doc int, term string, n long").repartition(4, "doc")
+    kept = spark.createDataFrame([("a",)], "term string")
+    for terms in (None, kept):
+        want, got = (sorted(map(tuple, TX.tf_idf(c, "doc", terms=terms, partitioned=p).collect())) for p in (False, True))
+        assert got == want and len(got) == (2 if terms is not None else 3)
+
+
+def test_hashed_vectors_bigrams_and_document_means(spark):
+    """Bytes read eight at a time, n-grams by place, means without a row per dimension: as by the plain definition."""
+    import hashlib
+
+    from faro.functions.text import hashed_vector, ngram_array
+
+    toks = [(1, "uno"), (1, "dos"), (1, "uno"), (2, "ñandú"), (None, "x")]
+    df = spark.createDataFrame(toks, "doc int, token string")
+    vec = lambda t, dim: [b / 255 - 0.5 for b in hashlib.md5(t.encode()).digest()[:dim]]
+    for dim in (3, 8, 16):
+        assert all(r["v"] == pytest.approx(vec(r["token"], dim), abs=1e-15) for r in df.select("token", hashed_vector("token", dim).alias("v")).collect())
+    got = {(r["doc"], r["dim"]): r["value"] for r in TX.doc_vectors(df, "doc", dim=5).collect()}
+    for doc in (1, 2, None):
+        vs = [vec(t, 5) for d, t in toks if d == doc]
+        assert [got[doc, i + 1] for i in range(5)] == pytest.approx([sum(v[i] for v in vs) / len(vs) for i in range(5)], abs=1e-12)
+    assert len(got) == 15 and "Generate" not in TX.doc_vectors(df, "doc")._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)[1]
+    arr = spark.createDataFrame([(["a", "b", "c", "d"],), (["a"],), ([],)], "t array<string>")
+    assert [r[0] for r in arr.select(ngram_array(F.col("t"), 3)).collect()] == [["a b c", "b c d"], [], []]
+    assert "get" in str(ngram_array(F.col("t"), 2))
+
+
+def test_word_vectors_are_trained_in_several_tasks(spark, monkeypatch):
+    from faro.operators import topics as TP
+
+    docs = spark.createDataFrame([([f"w{(i + j) % 9}" for j in range(30)],) for i in range(20)], "tokens array<string>")
+    monkeypatch.setattr(TP, "TASK_TOKENS", 100)
+    m = TP.word2vec(docs, size=4)
+    assert m.getNumPartitions() == 6 and m.getVectors().count() == 9
