@@ -13,8 +13,11 @@ plus exact sufficient-statistics fits where they exist.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.errors import UnsupportedOperationException
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from faro.functions.core import col, safe_div
 from faro.operators.neighbours import nearest
+from faro.operators.ranking import stage
 from faro.operators.trees import PrunedTree, pruned
 
 # ------------------------------------------------------------------ specs
@@ -78,14 +82,17 @@ class Fitted:
     features: list[str]
     outcome: str
     levels: list | None  # classification: [negative, event]
+    cuts: list[list[float]] | None = None  # boosting: the model knows a feature as the number of its cuts below the value
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds .pred (regression) or pred_class and pred_<level> probabilities."""
-        from pyspark.ml.functions import vector_to_array
+        from pyspark.ml.functions import array_to_vector, vector_to_array
 
         if isinstance(self.model, PrunedTree):
             return self.model.predict(df)
         d = _assemble(df, self.features)
+        if self.cuts is not None:
+            d = d.withColumn("_features", array_to_vector(F.array(*[b.cast("double") for b in _bins(vector_to_array("_features"), self.cuts)])))
         out = self.model.transform(d)
         keep = [c for c in df.columns]
         if self.spec.mode == "regression":
@@ -115,6 +122,7 @@ def fit(spec: ModelSpec, train: DataFrame, outcome: str, features: Sequence[str]
 
     features = list(features)
     lv = list(levels) if levels is not None else None
+    cuts = None
     d = _label(_assemble(train, features), outcome, lv if spec.mode == "classification" else None)
     common = dict(featuresCol="_features", labelCol="_label", predictionCol="_pred")
     p = dict(spec.params)
@@ -144,9 +152,13 @@ def fit(spec: ModelSpec, train: DataFrame, outcome: str, features: Sequence[str]
                   minInstancesPerNode=p["minInstancesPerNode"], seed=p["seed"], **extra, **common)
     elif spec.kind == "boost_tree":
         cls = MR.GBTRegressor if reg else MC.GBTClassifier
-        extra = {}
         est = cls(maxIter=p["maxIter"], maxDepth=p["maxDepth"], stepSize=p["stepSize"],
-                  minInstancesPerNode=p["minInstancesPerNode"], seed=p["seed"], **extra, **common)
+                  minInstancesPerNode=p["minInstancesPerNode"], seed=p["seed"], **common)
+        d, cuts, rows, cells = _cells(d, len(features), est.getMaxBins(), reg)
+        if cells:
+            # a node needs min_n rows, not cells; and MLlib looks for its cuts in at least maxBins^2 rows: in all cells
+            est = est.setWeightCol("_weight").setMinInstancesPerNode(1).setMinWeightFractionPerNode((p["minInstancesPerNode"] - 0.5) / rows if p["minInstancesPerNode"] > 1 else 0.0)
+            est = est.setMaxBins(max(est.getMaxBins(), math.isqrt(cells) + 1)) if cells <= SMALL_CELLS else est
     else:
         raise ValueError(spec.kind)
     model = est.fit(d)
@@ -154,7 +166,71 @@ def fit(spec: ModelSpec, train: DataFrame, outcome: str, features: Sequence[str]
         model = pruned(model, train, features, outcome, None if reg else lv, p["cost_complexity"])
     if not reg and spec.kind == "boost_tree":
         model.setProbabilityCol("_prob").setRawPredictionCol("_raw")
-    return Fitted(spec, model, features, outcome, lv)
+    return Fitted(spec, model, features, outcome, lv, cuts)
+
+
+#: most distinct values of a feature that are counted one by one, cells in which all cuts are looked for, and cells of a task
+COUNTED_VALUES, SMALL_CELLS, CELLS_A_TASK = 10_000, 1_000_000, 20_000
+
+
+def _bins(x, cuts: Sequence[Sequence[float]]) -> list:
+    """The number of cuts below each feature's value (NaN: all of them); ``x`` is an array column."""
+    return [reduce(add, [(x[i] > F.lit(c)).cast("int") for c in cut], F.lit(0)) for i, cut in enumerate(cuts)]
+
+
+def _find_cuts(values: Sequence[tuple[float, float]], most: int) -> list[float]:
+    """MLlib's cuts of a continuous feature into at most ``most`` bins: between all values, or nearest to equal shares of the rows.
+
+    ``values``: (distinct value, rows), sorted.
+    """
+    between = [(a + b) / 2 for (a, _), (b, _) in zip(values, values[1:])]
+    if len(between) < most:
+        return between
+    stride = sum(n for _, n in values) / most
+    cuts, upto, target = [], values[0][1], stride
+    for i in range(1, len(values)):
+        before, upto = upto, upto + values[i][1]
+        if abs(before - target) < abs(upto - target):
+            cuts.append(between[i - 1])
+            target += stride
+    return cuts
+
+
+def _cells(d: DataFrame, p: int, bins: int, reg: bool) -> tuple[DataFrame, list[list[float]] | None, int, int]:
+    """The training rows as cells: (rows for MLlib, cuts, number of rows, number of cells).
+
+    Trees see a feature as its bin only, so rows of the same bins (and of one
+    class) take the same way through every tree.  A cell is such rows: their
+    number is its weight, their mean its label, which gives the same sums as
+    the rows themselves.  All rows are read to find the cuts and once more to
+    fill the cells; the trees are then grown on the cells, at most one a row.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    x = [f"_x{i}" for i in range(p)]
+    rows = stage(d.select(vector_to_array("_features").alias("_a"), "_label").select(*[F.col("_a")[i].alias(c) for i, c in enumerate(x)], "_label"))
+    got = rows.agg(F.count(F.lit(1)).alias("n"), F.count("_label").alias("known"), *[F.approx_count_distinct(c, 0.02).alias(c) for c in x]).first()
+    n = got["n"]
+    if got["known"] < n:
+        raise ValueError("the outcome has missing values")
+    if not n or not p:
+        return d, None, n, 0
+    cuts = []
+    for c in x:
+        values = None
+        if got[c] <= COUNTED_VALUES * 1.1:
+            counted = rows.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")).limit(2 * COUNTED_VALUES).collect()
+            values = sorted((r["v"], float(r["n"])) for r in counted)
+        else:
+            at = rows.agg(F.percentile_approx(c, [(i + 0.5) / COUNTED_VALUES for i in range(COUNTED_VALUES)], 10 * COUNTED_VALUES)).first()[0]
+            values = sorted((v, k * n / COUNTED_VALUES) for v, k in Counter(at).items())
+        cuts.append(_find_cuts(values, min(bins, n)))
+    label = [] if reg else [F.col("_label")]
+    binned = rows.select(*[b.alias(c) for b, c in zip(_bins([F.col(c) for c in x], cuts), x)], "_label")
+    cells = stage(binned.groupBy(*x, *label).agg(F.count(F.lit(1)).cast("double").alias("_weight"), *([F.avg("_label").alias("_label")] if reg else [])))
+    made = cells.count()
+    out = cells.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in x])).alias("_features"), "_label", "_weight")
+    return out.coalesce(max(1, -(-made // CELLS_A_TASK))), cuts, n, made
 
 
 def tidy(fitted: Fitted) -> DataFrame:

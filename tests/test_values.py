@@ -243,3 +243,42 @@ def test_recipe_and_metric_helpers_used_above_agree(spark, split):
     baked = Recipe("y", ids=["id"], predictors=FEATS).step_normalize().prep(split[0]).bake(split[0])
     row = baked.agg(*[F.avg(c) for c in FEATS], *[F.stddev_samp(c) for c in FEATS]).first()
     assert list(row) == pytest.approx([0, 0, 0, 1, 1, 1], abs=1e-9) and C.silhouette_band(F.lit(0.8)) is not None
+
+
+def test_boosting_on_cells_equals_boosting_on_rows(spark):
+    """Rows of the same bins are one weighted cell: the trees, cuts and predictions are MLlib's on all rows, also with min_n and classes."""
+    from pyspark.ml import classification as MC
+    from pyspark.ml import regression as MR
+    from pyspark.ml.functions import vector_to_array
+
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 50, 6000) + 0.5, rng.integers(0, 4, 6000), rng.integers(-2, 9, 6000) * 0.1])
+    y = np.sin(x[:, 0] / 9) + x[:, 1] * x[:, 2] + rng.normal(size=6000) / 4
+    df = spark.createDataFrame([(*map(float, r), float(v), "si" if v > 0.5 else "no") for r, v in zip(x, y)], "a double, b double, c double, y double, cls string")
+    common = dict(featuresCol="_features", labelCol="_label", predictionCol="_pred", maxIter=6, maxDepth=3, stepSize=0.1, seed=42)
+    for least in (1, 40):
+        f = K.fit(K.boost_tree("regression", trees=6, min_n=least), df, "y", ["a", "b", "c"])
+        d = K._label(K._assemble(df, ["a", "b", "c"]), "y", None)
+        want = MR.GBTRegressor(minInstancesPerNode=least, **common).fit(d).transform(d).select("a", "b", "c", "_pred").distinct().toPandas()
+        got = f.predict(df).select("a", "b", "c", "pred").distinct().toPandas()
+        both = want.merge(got, on=["a", "b", "c"])
+        assert len(both) == len(want) and np.abs(both["_pred"] - both["pred"]).max() < 1e-9
+    assert len(f.cuts[0]) == 31 and len(f.cuts[1]) == 3
+    f = K.fit(K.boost_tree(trees=6), df, "cls", ["a", "b", "c"], ["no", "si"])
+    d = K._label(K._assemble(df, ["a", "b", "c"]), "cls", ["no", "si"])
+    want = MC.GBTClassifier(**common).fit(d).transform(d).select("a", "b", "c", vector_to_array("probability")[1].alias("p")).distinct().toPandas()
+    both = want.merge(f.predict(df).select("a", "b", "c", "pred_si").distinct().toPandas(), on=["a", "b", "c"])
+    assert len(both) == len(want) and np.abs(both["p"] - both["pred_si"]).max() < 1e-9
+    with pytest.raises(ValueError, match="missing"):
+        K.fit(K.boost_tree("regression", trees=1), df.withColumn("y", F.expr("nullif(b, 1.0D)")), "y", ["a"])
+
+
+def test_boosting_reads_its_rows_for_cells_only(spark, monkeypatch):
+    """MLlib gets at most a row per cell."""
+    from pyspark.ml import regression as MR
+
+    given, fit = [], MR.GBTRegressor.fit
+    monkeypatch.setattr(MR.GBTRegressor, "fit", lambda self, d: given.append((d.count(), d.agg(F.sum("_weight")).first()[0])) or fit(self, d))
+    df = spark.range(20000).selectExpr("CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST(id % 35 AS DOUBLE) AS y")
+    K.fit(K.boost_tree("regression", trees=2), df, "y", ["a", "b"])
+    assert given == [(35, 20000.0)]
